@@ -63,7 +63,9 @@ def split_exactly(amount: Column, weight: str, order: W) -> Column:
     total = F.sum(weight).over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)).cast("decimal(38,0)")
     before = upto - F.col(weight)
     whole = amount.cast("decimal(20,0)")
-    return (F.floor(whole * upto / total) - F.floor(whole * before / total)).cast("bigint")
+    # A decimal quotient is rounded to its scale, so the remainder is taken off first.
+    share = lambda x: (whole * x - whole * x % total) / total
+    return F.round(share(upto) - share(before)).cast("bigint")
 
 
 def pacific_offset_hours(as_of: dt.datetime) -> int:
