@@ -7,31 +7,31 @@ from pyspark.sql import functions as F
 
 from ..storage import materialise
 
-#: Words of 64 bits that a filter may have at most; as a broadcast relation some 100 MB.
+#: Words of 64 bits that a filter may have at most; as a broadcast relation less than 100 MB.
 MAX_WORDS = 1 << 21
 #: Keys per word: 16 bits a key, about 1 % false positives with four bits set.
 KEYS_PER_WORD = 4
 
 
 def _bits(key: str, words: int) -> tuple[F.Column, F.Column]:
-    """The word of a key and the four bits it sets there, from two independent hashes."""
-    word = F.pmod(F.xxhash64(F.lit(1), key), F.lit(words)).alias("word")
+    """The word of a key of a field and the four bits it sets there, from two independent hashes. One number names the word, so that the broadcast relation is a compact one of long keys."""
+    word = F.pmod(F.xxhash64(F.lit(1), "field", key), F.lit(words)).alias("word")
     h = "cast(xxhash64(2, {}) as bigint)".format(key)
     bit = " | ".join(f"shiftleft(1L, cast(shiftright({h}, {s}) & 63 as int))" for s in (0, 7, 14, 21))
     return word, F.expr(bit)
 
 
-def bloom_words(keys: DataFrame, field: str, key: str, words: int) -> DataFrame:
-    """A register-blocked Bloom filter as rows (field, word, bits), combined with bit_or before the shuffle."""
+def bloom_words(keys: DataFrame, key: str, words: int) -> DataFrame:
+    """A register-blocked Bloom filter over (field, key) as rows (word, bits), combined with bit_or before the shuffle."""
     word, bits = _bits(key, words)
-    return keys.select(field, word, bits.alias("bits")).groupBy(field, "word").agg(F.bit_or("bits").alias("bits"))
+    return keys.select(word, bits.alias("bits")).groupBy("word").agg(F.bit_or("bits").alias("bits"))
 
 
 def find_orphans(refs: DataFrame, targets: DataFrame, n_targets: int, max_words: int = MAX_WORDS) -> DataFrame:
     """The rows of refs(field, id, ref, ...) whose ref is no key of targets(field, key) of the same field.
 
     `n_targets` is an upper bound of the targets' rows, from the files' footers, and sizes the filter. The filter has at
-    most max_words words and is broadcast; with more targets than it can hold (33 million by default) it is left out and
+    most max_words words and is broadcast; with more targets than it can hold (8 million by default) it is left out and
     all references go to the exact join. Null refs are no references; null keys match nothing. Repeated rows of refs come
     out as often; repeated keys don't matter. No targets: every reference is an orphan. ref and key must be of one type.
 
@@ -44,9 +44,9 @@ def find_orphans(refs: DataFrame, targets: DataFrame, n_targets: int, max_words:
     exact_keys = keys.select("field", F.col("key").alias("ref")).distinct()
     if words > max_words:
         return refs.join(exact_keys, ["field", "ref"], "left_anti")
-    bloom = F.broadcast(bloom_words(keys, "field", "key", words))
+    bloom = F.broadcast(bloom_words(keys, "key", words))
     word, bits = _bits("ref", words)
-    tested = refs.withColumn("word", word).withColumn("want", bits).join(bloom, ["field", "word"], "left")
+    tested = refs.withColumn("word", word).withColumn("want", bits).join(bloom, "word", "left")
     tested = materialise(tested.withColumn("certain", F.expr("bits is null or (bits & want) != want")).drop("word", "want", "bits"), "tested")
     columns = refs.columns
     certain = tested.filter("certain").select(*columns)
