@@ -300,11 +300,11 @@ def c19_report(spark: SparkSession, folder: str) -> DataFrame:
     return o.groupBy(F.col("o_custkey").alias("fid")).agg(F.count(F.lit(1)).alias("payouts"), F.round(F.sum("o_totalprice"), 2).alias("total"), F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY o_totalprice)").alias("median"), F.count(F.when(F.col("o_orderstatus") == "F", 1)).alias("done"))
 
 
-@query("C20_exact_integer_split", "SELECT l_orderkey, l_linenumber, CAST(1000003 * c // t - 1000003 * (c - q) // t AS BIGINT) AS part FROM (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS HUGEINT) AS q, sum(CAST(l_quantity AS HUGEINT)) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS c, sum(CAST(l_quantity AS HUGEINT)) OVER (PARTITION BY l_orderkey) AS t FROM lineitem)")
+@query("C20_exact_integer_split", "SELECT l_orderkey, l_linenumber, CAST(1000003 * c // t - 1000003 * (c - q) // t AS BIGINT) AS part FROM (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS HUGEINT) AS q, sum(CAST(l_quantity AS HUGEINT)) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity ROWS UNBOUNDED PRECEDING) AS c, sum(CAST(l_quantity AS HUGEINT)) OVER (PARTITION BY l_orderkey) AS t FROM lineitem)")
 def c20_split(spark: SparkSession, folder: str) -> DataFrame:
     """1000003 units per order over its lines by quantity: whole parts that add up exactly."""
     li = table(spark, folder, "lineitem").withColumn("q", F.col("l_quantity").cast("bigint"))
-    return li.select("l_orderkey", "l_linenumber", split_exactly(F.lit(1_000_003), "q", W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey")).alias("part"))
+    return li.select("l_orderkey", "l_linenumber", split_exactly(F.lit(1_000_003), "q", W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_quantity")).alias("part"))
 
 
 @query("C22_channel_lookup", SQL + " SELECT channel_id, url, lead_fid FROM chan WHERE channel_id LIKE 'b%' OR follower_count >= 100")
