@@ -38,19 +38,18 @@ def find_orphans(refs: DataFrame, targets: DataFrame, n_targets: int, max_words:
     A reference whose bits aren't all set is an orphan for certain. The others are joined exactly: a left-anti join by
     hash partitions, in which AQE splits a hot reference, as that side has every row of it once and the keys' side one.
     """
-    refs = refs.filter(F.col("ref").isNotNull())
+    refs = refs.filter(F.col("ref").isNotNull()).select(F.struct("*").alias("row"), "field", "ref")  # other columns keep their names inside
     keys = targets.filter(F.col("key").isNotNull())
     words = 1 << max(4, (max(n_targets, 1) // KEYS_PER_WORD - 1).bit_length())
     exact_keys = keys.select("field", F.col("key").alias("ref")).distinct()
     if words > max_words:
-        return refs.join(exact_keys, ["field", "ref"], "left_anti")
+        return refs.join(exact_keys, ["field", "ref"], "left_anti").select("row.*")
     bloom = F.broadcast(bloom_words(keys, "key", words))
     word, bits = _bits("ref", words)
     tested = refs.withColumn("word", word).withColumn("want", bits).join(bloom, "word", "left")
     tested = materialise(tested.withColumn("certain", F.expr("bits is null or (bits & want) != want")).drop("word", "want", "bits"), "tested")
-    columns = refs.columns
-    certain = tested.filter("certain").select(*columns)
-    verified = tested.filter("not certain").join(exact_keys, ["field", "ref"], "left_anti").select(*columns)
+    certain = tested.filter("certain").select("row.*")
+    verified = tested.filter("not certain").join(exact_keys, ["field", "ref"], "left_anti").select("row.*")
     return certain.unionByName(verified)
 
 
