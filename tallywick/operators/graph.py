@@ -46,7 +46,6 @@ def _prepared(edges: DataFrame, seeds: DataFrame | None, keys: list[str]) -> tup
     e = edges.filter("i is not null and j is not null and i != j and v > 0").groupBy(*keys, "i", "j").agg(F.sum(F.col("v").cast("double")).alias("v"))
     c = materialise(e.withColumn("c", F.col("v") / F.sum("v").over(W.partitionBy(*keys, "i"))).select(*keys, "i", "j", "c"), "edges")
     nodes = c.select(*keys, F.col("i").alias("n"), F.lit(0).alias("sink")).unionByName(c.select(*keys, F.col("j").alias("n"), F.lit(1).alias("sink"))).groupBy(*keys, "n").agg(F.min("sink").alias("sink"))
-    whole = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))
     if seeds is None:
         seeded = nodes.withColumn("s", F.lit(0.0))
     else:
@@ -57,7 +56,6 @@ def _prepared(edges: DataFrame, seeds: DataFrame | None, keys: list[str]) -> tup
         shared = seeded.join(lookup(totals, "totals"), keys)
     else:
         shared = seeded.crossJoin(F.broadcast(seeded.agg(F.sum("s").alias("all"), F.count(F.lit(1)).alias("size"))))
-    del whole
     p = F.when(F.col("all") > 0, F.col("s") / F.col("all")).otherwise(1.0 / F.col("size"))
     return c, materialise(shared.select(*keys, "n", p.alias("p"), (F.col("sink") == 1).alias("dangling")), "nodes")
 

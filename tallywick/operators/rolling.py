@@ -33,13 +33,6 @@ def block_totals(block: np.ndarray, bands: list[np.ndarray]) -> list[np.ndarray]
     return [e.astype(np.int64) for e in exact]
 
 
-def current_readings(df: DataFrame, key: list[str], version: str) -> DataFrame:
-    """The row with the greatest version per key; a null version counts as the oldest."""
-    rest = [c for c in df.columns if c not in key]
-    newest = df.groupBy(*key).agg(F.max_by(F.struct(*rest), F.struct(F.col(version).isNotNull(), F.col(version))).alias("r"))
-    return newest.select(*key, *[F.col(f"r.{c}").alias(c) for c in rest])
-
-
 def rolling_totals(
     df: DataFrame, entity: list[str], ts: str, value: str, version: str | None, windows: tuple[int, ...] = (7, 30), tile_days: int = 64, entities_per_block: int = 128
 ) -> DataFrame:
