@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .abuse import labelled_documents, score_documents, train, unlabelled_documents
+from .abuse import labelled_documents, score_documents, train_in_task, unlabelled_documents
 from .leaks import leaked_items
 from .tokens import encode_corpus
 
@@ -37,7 +37,7 @@ def p8_leaks_per_split(spark: SparkSession, folder: str) -> DataFrame:
 
 def _scored(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
-    model = train(labelled_documents(docs, "doc_id", "text", labels, "doc_id", "annotator", "category"), unlabelled_documents(docs, "doc_id", "text", labels, "doc_id"))
+    model = train_in_task(labelled_documents(docs, "doc_id", "text", labels, "doc_id", "annotator", "category"), unlabelled_documents(docs, "doc_id", "text", labels, "doc_id"))
     return score_documents(docs, "doc_id", "text", model, ("source",))
 
 
