@@ -22,8 +22,8 @@ from .tokens import spread
 
 #: Letters and digits of a shingle; some four to five words.
 SHINGLE = 20
-#: Shingles of items that are searched in one pass over the corpus (16 MB in a worker); more are taken in several passes.
-PASS_SHINGLES = 2_000_000
+#: Shingles of items that are searched in one pass over the corpus (4 MB in a worker, some 50 MB on the driver); more are taken in several passes.
+PASS_SHINGLES = 500_000
 
 _POWER = np.uint64(0x9E3779B97F4A7C15)
 
