@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.times import epoch_day, epoch_micros
+from ..storage import materialise
 
 
 def banded(days: int, halo: int, window: int) -> np.ndarray:
@@ -52,7 +53,7 @@ def rolling_totals(
     rows = df.select(*cols, *([F.struct(F.col(version).isNotNull(), F.col(version)).alias("ver")] if version else [])).dropna(subset=[*keys, "at"])
     if version:
         rows = rows.groupBy(*keys, "day", "at").agg(F.max_by("v", "ver").alias("v"))
-    daily = rows.groupBy(*keys, "day").agg(F.coalesce(F.sum("v"), F.lit(0)).alias("v"))
+    daily = materialise(rows.groupBy(*keys, "day").agg(F.coalesce(F.sum("v"), F.lit(0)).alias("v")), "daily")
     halo = max(windows) - 1
     whole = W.partitionBy(*keys)
     series = daily.withColumn("first", F.min("day").over(whole)).withColumn("last", F.max("day").over(whole))
@@ -62,7 +63,7 @@ def rolling_totals(
     last_tile = F.floor(F.col("last") / tile_days).cast("int")
     to = F.when(F.col("day") == F.col("first"), last_tile).otherwise(F.least(reach, last_tile))
     tiled = series.withColumn("tile", F.explode(F.sequence(tile, to)))
-    n_blocks = max(1, df.sparkSession.sparkContext.defaultParallelism * 4)
+    n_blocks = daily.select(*keys).distinct().count() // entities_per_block + 1
     tiled = tiled.withColumn("block", F.pmod(F.xxhash64(*keys), F.lit(n_blocks)))
     bands = [banded(tile_days, halo, w) for w in windows]
     fields = {f.name: f.dataType.simpleString() for f in daily.schema.fields}
