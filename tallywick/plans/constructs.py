@@ -17,7 +17,7 @@ def s2_parameters(spark: SparkSession, folder: str) -> DataFrame:
     return spark.sql("SELECT o_orderkey, o_totalprice FROM {o} WHERE o_totalprice >= :least AND o_orderpriority = :priority", args={"least": 1000, "priority": "1-URGENT"}, o=table(spark, folder, "orders"))
 
 
-@query("S13_json_parameter_as_relation", "SELECT o_orderkey, t.score FROM orders JOIN (VALUES (1, 0.5), (2, 0.25), (7, 0.125)) t(fid, score) ON o_custkey = t.fid")
+@query("S13_json_parameter_as_relation", "SELECT o_orderkey, CAST(t.score AS DOUBLE) AS score FROM orders JOIN (VALUES (1, 0.5), (2, 0.25), (7, 0.125)) t(fid, score) ON o_custkey = t.fid")
 def s13_json(spark: SparkSession, folder: str) -> DataFrame:
     trust = spark.sql("SELECT inline(from_json(:j, 'array<struct<fid:int,score:double>>'))", args={"j": '[{"fid":1,"score":0.5},{"fid":2,"score":0.25},{"fid":7,"score":0.125}]'})
     o = table(spark, folder, "orders")

@@ -323,7 +323,7 @@ def c23_sanity(spark: SparkSession, folder: str) -> DataFrame:
 _QUOTES = ", q AS (SELECT cast_id, fid, count(*) AS quotes FROM (SELECT id AS cast_id, unnest(mentions) AS fid FROM live) GROUP BY ALL)"
 
 
-@query("N1_parse_bracket_lists", "SELECT id, len(mentions) AS n, coalesce(list_sum(mentions), 0) AS total FROM (SELECT id, max(mentions) AS mentions FROM casts GROUP BY id)")
+@query("N1_parse_bracket_lists", "SELECT id, len(mentions) AS n, CAST(coalesce(list_sum(mentions), 0) AS BIGINT) AS total FROM (SELECT id, max(mentions) AS mentions FROM casts GROUP BY id)")
 def n1_lists(spark: SparkSession, folder: str) -> DataFrame:
     """Lists written as bracketed text, read back."""
     c = table(spark, folder, "casts").groupBy("id").agg(F.max("mentions").alias("m")).select("id", F.concat(F.lit("["), F.concat_ws(", ", F.col("m").cast("array<string>")), F.lit("]")).alias("t"))

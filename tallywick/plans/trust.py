@@ -168,7 +168,7 @@ def g12_induced(spark: SparkSession, folder: str) -> DataFrame:
     return induced_edges(strong, rings(strong, seeds, 2))
 
 
-@query("G13_neighbours", SQL + _EDGES3 + f" SELECT j AS fid, sum(v) AS trust FROM edges WHERE i IN (SELECT i FROM {_SEEDS}) GROUP BY j")
+@query("G13_neighbours", SQL + _EDGES3 + f" SELECT j AS fid, CAST(sum(v) AS BIGINT) AS trust FROM edges WHERE i IN (SELECT i FROM {_SEEDS}) GROUP BY j")
 def g13_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     edges = local_trust(_pairs(spark, folder), 3)
     return neighbours(edges.join(top_tier(spark, folder).select("i"), "i", "left_semi"))
@@ -193,7 +193,7 @@ def g17_by_address(spark: SparkSession, folder: str) -> DataFrame:
     return local_trust(_pairs(spark, folder), 3).select(name("i"), name("j"), "v")
 
 
-_CHANNEL = """, ce AS (SELECT channel_id, i, j, sum(w) AS v FROM (
+_CHANNEL = """, ce AS (SELECT channel_id, i, j, CAST(sum(w) AS BIGINT) AS v FROM (
     SELECT l.channel_id, r.fid AS i, r.target_fid AS j, CASE WHEN reaction_type = 1 THEN 1 ELSE 3 END AS w FROM reactions r JOIN live l ON l.id = r.cast_id
     UNION ALL SELECT channel_id, fid, parent_fid, 6 FROM replies UNION ALL SELECT channel_id, fid, m, 12 FROM (SELECT channel_id, fid, unnest(mentions) AS m FROM live))
   WHERE channel_id IS NOT NULL AND i IS NOT NULL AND j IS NOT NULL AND i <> j GROUP BY ALL)"""
