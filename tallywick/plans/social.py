@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
+from ..storage import materialise
 
 #: The moment that stands for "now" in all queries, UTC.
 AS_OF = "2025-02-15 00:00:00"
@@ -24,8 +25,15 @@ def now() -> F.Column:
 CAST_COLUMNS = ("fid", "hash", "parent_hash", "root_parent_hash", "root_parent_url", "timestamp", "created_at", "deleted_at", "text", "mentions")
 
 
-def current_casts(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    """One row per cast, its current one: id and the named columns."""
+def stored_casts(spark: SparkSession, folder: str, *more: str) -> DataFrame:
+    """current_casts with what most relations need, and more columns, written once for a query that reads them several times."""
+    return materialise(current_casts(spark, folder, "fid", "hash", "parent_hash", "root_parent_url", "timestamp", "deleted_at", *more), "casts")
+
+
+def current_casts(spark: SparkSession, folder: str, *columns: str, base: DataFrame | None = None) -> DataFrame:
+    """One row per cast, its current one: id and the named columns. base: stored_casts to take them from."""
+    if base is not None:
+        return base.select("id", *columns)
     rows = table(spark, folder, "casts").filter("id is not null")
     return rows.groupBy("id").agg(F.max_by(F.struct(*columns), F.col("updated_at")).alias("c")).select("id", *[F.col(f"c.{c}").alias(c) for c in columns])
 
@@ -34,37 +42,38 @@ def live_channels(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "channels").filter("deleted_at is null").select("channel_id", "url", "lead_fid", "moderator_fids", "follower_count")
 
 
-def live_casts(spark: SparkSession, folder: str, *more: str) -> DataFrame:
+def live_casts(spark: SparkSession, folder: str, *more: str, base: DataFrame | None = None) -> DataFrame:
     """Casts that aren't deleted: id, fid, ts, channel_id (null outside live channels), top (no parent), and more columns."""
     columns = dict.fromkeys(["fid", "timestamp", "deleted_at", "parent_hash", "root_parent_url", *more])
-    c = current_casts(spark, folder, *columns).filter("deleted_at is null").withColumn("top", F.coalesce(F.length("parent_hash"), F.lit(0)) == 0)
+    c = current_casts(spark, folder, *columns, base=base).filter("deleted_at is null").withColumn("top", F.coalesce(F.length("parent_hash"), F.lit(0)) == 0)
     urls = live_channels(spark, folder).select(F.col("url").alias("root_parent_url"), "channel_id")
     return c.join(urls, "root_parent_url", "left").select("id", "fid", F.col("timestamp").alias("ts"), "channel_id", "top", *more)
 
 
-def reactions(spark: SparkSession, folder: str) -> DataFrame:
+def reactions(spark: SparkSession, folder: str, base: DataFrame | None = None) -> DataFrame:
     """cast_id, target_fid, fid, reaction_type (1 like, 2 recast), ts, first."""
     lines = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("id"), (F.lit(1_000_000) + F.col("l_partkey") % 2000).alias("actor"), F.when(F.col("l_returnflag") == "R", 2).otherwise(1).alias("reaction_type"), (F.col("l_partkey") % 96).alias("hours"), (F.col("l_linenumber") == 1).alias("first"))
-    casts = current_casts(spark, folder, "fid", "timestamp", "deleted_at").filter("deleted_at is null").select("id", F.col("fid").alias("target_fid"), "timestamp")
+    casts = current_casts(spark, folder, "fid", "timestamp", "deleted_at", base=base).filter("deleted_at is null").select("id", F.col("fid").alias("target_fid"), "timestamp")
     ts = F.expr("timestamp + make_dt_interval(0, cast(hours as int), 0, 0)")
     return lines.join(casts, "id").select(F.col("id").alias("cast_id"), "target_fid", F.col("actor").alias("fid"), "reaction_type", ts.alias("ts"), "first")
 
 
-def replies(spark: SparkSession, folder: str) -> DataFrame:
+def replies(spark: SparkSession, folder: str, base: DataFrame | None = None) -> DataFrame:
     """Live casts below a known cast: id, fid, ts, parent_id, parent_fid, channel_id."""
-    c = live_casts(spark, folder, "parent_hash").filter("not top")
-    parents = current_casts(spark, folder, "hash", "fid").select(F.col("hash").alias("parent_hash"), F.col("id").alias("parent_id"), F.col("fid").alias("parent_fid"))
+    c = live_casts(spark, folder, "parent_hash", base=base).filter("not top")
+    parents = current_casts(spark, folder, "hash", "fid", base=base).select(F.col("hash").alias("parent_hash"), F.col("id").alias("parent_id"), F.col("fid").alias("parent_fid"))
     return c.join(parents, "parent_hash").select("id", "fid", "ts", "parent_id", "parent_fid", "channel_id")
 
 
 def interactions(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """(i, j) per interaction of each kind, and of each its time ts."""
-    r = reactions(spark, folder)
-    named = live_casts(spark, folder, "mentions").select(F.col("fid").alias("i"), F.explode("mentions").alias("j"), "ts")
+    base = stored_casts(spark, folder, "mentions")
+    r = reactions(spark, folder, base)
+    named = live_casts(spark, folder, "mentions", base=base).select(F.col("fid").alias("i"), F.explode("mentions").alias("j"), "ts")
     return {
         "likes": r.filter("reaction_type = 1").select(F.col("fid").alias("i"), F.col("target_fid").alias("j"), "ts"),
         "recasts": r.filter("reaction_type = 2").select(F.col("fid").alias("i"), F.col("target_fid").alias("j"), "ts"),
-        "replies": replies(spark, folder).select(F.col("fid").alias("i"), F.col("parent_fid").alias("j"), "ts"),
+        "replies": replies(spark, folder, base).select(F.col("fid").alias("i"), F.col("parent_fid").alias("j"), "ts"),
         "mentions": named,
         "follows": r.filter("first").select(F.col("fid").alias("i"), F.col("target_fid").alias("j"), "ts").distinct(),
     }
@@ -72,11 +81,12 @@ def interactions(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 def actions(spark: SparkSession, folder: str) -> DataFrame:
     """One row per (cast_id, fid, action_ts): channel_id, casted, replied, recasted, liked. A reply counts for the cast it answers, besides its own row."""
-    c = live_casts(spark, folder)
+    base = stored_casts(spark, folder)
+    c = live_casts(spark, folder, base=base)
     flag = lambda *on: [F.lit(int(x in on)).alias(x) for x in ("casted", "replied", "recasted", "liked")]
     own = c.select(F.col("id").alias("cast_id"), "fid", F.col("ts").alias("action_ts"), "channel_id", *flag("casted"))
-    rep = replies(spark, folder).select(F.col("parent_id").alias("cast_id"), "fid", F.col("ts").alias("action_ts"), "channel_id", *flag("replied"))
-    r = reactions(spark, folder).join(c.select(F.col("id").alias("cast_id"), "channel_id"), "cast_id")
+    rep = replies(spark, folder, base).select(F.col("parent_id").alias("cast_id"), "fid", F.col("ts").alias("action_ts"), "channel_id", *flag("replied"))
+    r = reactions(spark, folder, base).join(c.select(F.col("id").alias("cast_id"), "channel_id"), "cast_id")
     liked = r.select("cast_id", "fid", F.col("ts").alias("action_ts"), "channel_id", F.lit(0).alias("casted"), F.lit(0).alias("replied"), (F.col("reaction_type") == 2).cast("int").alias("recasted"), (F.col("reaction_type") == 1).cast("int").alias("liked"))
     rows = own.unionByName(rep).unionByName(liked)
     # Insert-ignore keeps one row per key; which kind it is goes by a fixed order.

@@ -11,7 +11,7 @@ from ..operators.graph import direct_edges, edge_weight, eigentrust, induced_edg
 from ..sources.tables import table
 from ..storage import materialise
 from .registry import query
-from .social import SQL, global_rank, interactions, live_casts, live_channels, now, reactions, replies
+from .social import SQL, global_rank, interactions, live_casts, live_channels, now, reactions, replies, stored_casts
 
 _PAIRS = """, tagged AS (SELECT fid AS i, target_fid AS j, CASE WHEN reaction_type = 1 THEN 'l' ELSE 'c' END AS k, ts FROM reactions
     UNION ALL SELECT fid, parent_fid, 'r', ts FROM replies UNION ALL SELECT i, j, 'm', ts FROM named UNION ALL SELECT i, j, 'f', NULL FROM follows),
@@ -201,10 +201,11 @@ _CHANNEL = """, ce AS (SELECT channel_id, i, j, CAST(sum(w) AS BIGINT) AS v FROM
 
 def channel_trust(spark: SparkSession, folder: str) -> DataFrame:
     """Local trust of all channels at once: channel_id, i, j, v by formula A without follows."""
-    c = live_casts(spark, folder, "mentions")
-    r = reactions(spark, folder).join(c.select(F.col("id").alias("cast_id"), "channel_id"), "cast_id").select("channel_id", F.col("fid").alias("i"), F.col("target_fid").alias("j"), F.when(F.col("reaction_type") == 1, 1).otherwise(3).alias("w"))
+    base = stored_casts(spark, folder, "mentions")
+    c = live_casts(spark, folder, "mentions", base=base)
+    r = reactions(spark, folder, base).join(c.select(F.col("id").alias("cast_id"), "channel_id"), "cast_id").select("channel_id", F.col("fid").alias("i"), F.col("target_fid").alias("j"), F.when(F.col("reaction_type") == 1, 1).otherwise(3).alias("w"))
 
-    p = replies(spark, folder).select("channel_id", F.col("fid").alias("i"), F.col("parent_fid").alias("j"), F.lit(6).alias("w"))
+    p = replies(spark, folder, base).select("channel_id", F.col("fid").alias("i"), F.col("parent_fid").alias("j"), F.lit(6).alias("w"))
     m = c.select("channel_id", F.col("fid").alias("i"), F.explode("mentions").alias("j"), F.lit(12).alias("w"))
     rows = r.unionByName(p).unionByName(m).filter("channel_id is not null and i is not null and j is not null and i != j")
     return rows.groupBy("channel_id", "i", "j").agg(F.sum("w").alias("v"))
