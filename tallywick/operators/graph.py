@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -140,3 +144,95 @@ def personalised(edges: DataFrame, seeds: DataFrame, degrees: int = 2, alpha: fl
     start = members.filter("degree = 0").select("seed", F.col("node").alias("i"), F.lit(1.0).alias("v"))
     scores = eigentrust(own, start, alpha, epsilon, max_iterations, keys=("seed",))
     return scores.join(members.withColumnRenamed("node", "i"), ["seed", "i"])
+
+
+class Graph:
+    """A whole graph as arrays: ids in order, and the out-edges of node k at starts[k] to starts[k + 1] in targets and weights."""
+
+    def __init__(self, i: np.ndarray, j: np.ndarray, v: np.ndarray):
+        self.ids = np.unique(np.concatenate([i, j]))
+        a, b = np.searchsorted(self.ids, i), np.searchsorted(self.ids, j)
+        order = np.lexsort((b, a))
+        self.targets, self.weights = b[order].astype(np.int32), v[order].astype(np.float64)
+        self.starts = np.concatenate([[0], np.cumsum(np.bincount(a, minlength=len(self.ids)))])
+
+    def out_edges(self, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The places of the nodes' out-edges, and for each the place of its source in nodes."""
+        counts = self.starts[nodes + 1] - self.starts[nodes]
+        ends = np.cumsum(counts)
+        return np.arange(ends[-1]) + np.repeat(self.starts[nodes] - ends + counts, counts), np.repeat(np.arange(len(nodes)), counts)
+
+    def own_scores(self, nodes: np.ndarray, at: np.ndarray, alpha: float, epsilon: float) -> np.ndarray:
+        """Trust scores of nodes over the edges between them, seeded with the first alone, until the summed change is below epsilon. at: place of each node in nodes, else -1."""
+        edges, source = self.out_edges(nodes)
+        target = at[self.targets[edges]]
+        inside = target >= 0
+        source, target, v = source[inside], target[inside], self.weights[edges[inside]]
+        sums = np.bincount(source, v, len(nodes))
+        c, sink = v / sums[source], sums == 0
+        t = np.zeros(len(nodes))
+        t[0] = 1.0
+        while True:
+            new = (1 - alpha) * np.bincount(target, c * t[source], len(nodes))
+            new[0] += (1 - alpha) * t[sink].sum() + alpha
+            moved, t = np.abs(new - t).sum(), new
+            if moved < epsilon:
+                return t
+
+    def personal(self, k: int, at: np.ndarray, degrees: int, most: int, alpha: float, epsilon: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(degree, ids, scores) of node k. at: -1 everywhere, before and after."""
+        nodes = front = np.array([k])
+        at[k], done = 0, 0
+        for degree in range(1, degrees + 1):
+            reached = self.targets[self.out_edges(front)[0]]
+            front = np.unique(reached[at[reached] < 0])[:most]
+            if not len(front):
+                break
+            at[front] = np.arange(len(nodes), len(nodes) + len(front))
+            nodes = np.concatenate([nodes, front])
+            scores = self.own_scores(nodes, at, alpha, epsilon)[done:]
+            new = nodes[done:]
+            order = np.lexsort((new, -scores))
+            yield degree, self.ids[new[order]], scores[order]
+            most -= len(new)
+            done = len(nodes)
+            if most <= 0:
+                break
+        at[nodes] = -1
+
+
+def personal_graphs(edges: DataFrame, degrees: int = 5, most: int = 1000, alpha: float = 0.5, epsilon: float = 1e-6) -> DataFrame:
+    """(fid, degree, scores): for every fid with out-edges and each degree, the fids first reached in that many steps, with their trust scores, best first.
+
+    The scores of a degree are those over the edges between all fids up to it, seeded with the fid alone. A fid gets
+    `most` others in all, nearer ones first and by id within a ring; its own score is the first degree's and counts as
+    one of them for what is left to further degrees.
+
+    edges (i, j, v) without self edges and repeated pairs, v > 0. All of them go to the driver and to every worker, 12 bytes
+    each: the graph must fit there. The fids are shared out over the tasks.
+    """
+    spark = edges.sparkSession
+    e = edges.select("i", "j", F.col("v").cast("double").alias("v")).toArrow()
+    if not e.num_rows:
+        return spark.createDataFrame([], "fid bigint, degree int, scores array<struct<i: bigint, v: double>>")
+    graph = Graph(*(e.column(c).to_numpy() for c in "ijv"))
+    del e
+    shared = spark.sparkContext.broadcast(graph)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        g = shared.value
+        at = np.full(len(g.ids), -1, dtype=np.int64)
+        for batch in batches:
+            nodes = batch.column(0).to_numpy()
+            for first in range(0, len(nodes), 200):
+                found = [(g.ids[k], *r) for k in nodes[first : first + 200] for r in g.personal(k, at, degrees, most, alpha, epsilon)]
+                if not found:
+                    continue
+                fid, degree, ids, scores = zip(*found)
+                pairs = pa.StructArray.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(scores))], names=["i", "v"])
+                offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(fid, pa.int64()), pa.array(degree, pa.int32()), pa.ListArray.from_arrays(offsets, pairs)], names=["fid", "degree", "scores"])
+
+    # Nodes without out-edges give no row. Neighbouring ids cost alike, so they are spread.
+    nodes = spark.range(len(graph.ids)).repartition(8 * spark.sparkContext.defaultParallelism, F.xxhash64("id"))
+    return nodes.mapInArrow(rows, "fid bigint, degree int, scores array<struct<i: bigint, v: double>>")

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.semantics import any_nonnull, distinct_sorted, whole_percentile
-from ..operators.graph import direct_edges, edge_weight, eigentrust, induced_edges, local_trust, merge_interactions, neighbours, personalised, ranked, rings
+from ..operators.graph import direct_edges, edge_weight, eigentrust, induced_edges, local_trust, merge_interactions, neighbours, personal_graphs, personalised, ranked, rings
 from ..sources.tables import table
 from ..storage import materialise
 from .registry import query
@@ -142,14 +142,14 @@ _RINGS = f""", r0 AS (SELECT profile_id AS seed, profile_id AS node, 0 AS degree
   ring AS (SELECT * FROM r0 UNION ALL SELECT * FROM r1 UNION ALL SELECT * FROM r2)"""
 
 
-def _strong(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Edges of weight 6 or more, and the five best profiles as seeds."""
-    return materialise(local_trust(_pairs(spark, folder), 3).filter("v >= 6"), "strong"), top_tier(spark, folder, 5)
+def _around(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """All edges, and the five best profiles as seeds. The SQL of G10 to G12 still leaves out the edges of weight under 6."""
+    return materialise(local_trust(_pairs(spark, folder), 3), "edges"), top_tier(spark, folder, 5)
 
 
 @query("G10_rings", SQL + _EDGES3 + _STRONG + _RINGS + " SELECT * FROM ring")
 def g10_rings(spark: SparkSession, folder: str) -> DataFrame:
-    return rings(*_strong(spark, folder), 2)
+    return rings(*_around(spark, folder), 2)
 
 
 @query(
@@ -159,13 +159,13 @@ def g10_rings(spark: SparkSession, folder: str) -> DataFrame:
 def g11_capped(spark: SparkSession, folder: str) -> DataFrame:
     """The first 50 neighbours of each seed, nearer rings first and by id within one."""
     place = F.row_number().over(W.partitionBy("seed").orderBy("degree", "node"))
-    return rings(*_strong(spark, folder), 2).filter("degree > 0").withColumn("place", place).filter("place <= 50").drop("place")
+    return rings(*_around(spark, folder), 2).filter("degree > 0").withColumn("place", place).filter("place <= 50").drop("place")
 
 
 @query("G12_induced_edges", SQL + _EDGES3 + _STRONG + _RINGS + " SELECT a.seed, s.i, s.j, s.v FROM strong s JOIN ring a ON a.node = s.i JOIN ring b ON b.node = s.j AND b.seed = a.seed")
 def g12_induced(spark: SparkSession, folder: str) -> DataFrame:
-    strong, seeds = _strong(spark, folder)
-    return induced_edges(strong, rings(strong, seeds, 2))
+    edges, seeds = _around(spark, folder)
+    return induced_edges(edges, rings(edges, seeds, 2))
 
 
 @query("G13_neighbours", SQL + _EDGES3 + f" SELECT j AS fid, CAST(sum(v) AS BIGINT) AS trust FROM edges WHERE i IN (SELECT i FROM {_SEEDS}) GROUP BY j")
@@ -176,15 +176,13 @@ def g13_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("G14_personalised_scores", None)
 def g14_personalised(spark: SparkSession, folder: str) -> DataFrame:
-    return personalised(*_strong(spark, folder), 2, max_iterations=10).select("seed", F.col("i").alias("fid"), F.col("v").alias("score"))
+    return personalised(*_around(spark, folder), 2, max_iterations=50).select("seed", F.col("i").alias("fid"), F.col("v").alias("score"))
 
 
 @query("G15_personal_graph", None)
 def g15_personal_graph(spark: SparkSession, folder: str) -> DataFrame:
-    """Per seed and degree, the scored fids of that ring, best first."""
-    rows = personalised(*_strong(spark, folder), 2, max_iterations=10)
-    lists = F.sort_array(F.collect_list(F.struct(F.col("v").alias("v"), F.col("i").alias("i"))), asc=False)
-    return rows.groupBy(F.col("seed").alias("fid"), "degree").agg(F.transform(lists, lambda x: F.struct(x["i"].alias("i"), x["v"].alias("v"))).alias("scores"))
+    """Per fid with out-edges and degree to 5, the scored fids of that ring, best first, at most 1000 per fid."""
+    return personal_graphs(local_trust(_pairs(spark, folder), 3))
 
 
 @query("G17_edges_by_address", SQL + _EDGES3 + " SELECT '0x' || lower(printf('%016x', i)) AS i, '0x' || lower(printf('%016x', j)) AS j, v FROM edges")

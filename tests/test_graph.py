@@ -1,7 +1,12 @@
+from pathlib import Path
+
+import duckdb
 import numpy as np
 import pytest
 
-from tallywick.operators.graph import eigentrust, induced_edges, merge_interactions, personalised, ranked, rings
+from tallywick.operators.graph import eigentrust, induced_edges, merge_interactions, personal_graphs, personalised, ranked, rings
+from tallywick.plans import trust  # noqa: F401
+from tallywick.plans.registry import ORACLES, QUERIES
 
 EDGES = "i bigint, j bigint, v double"
 
@@ -69,3 +74,54 @@ def test_ranks_are_a_permutation_with_ties_by_id(spark):
 
 def test_no_edges(spark):
     assert eigentrust(spark.createDataFrame([], EDGES), None).count() == 0
+
+
+def by_hand(edges, fid, degrees, most):
+    """Personal graph of one fid in plain Python: {degree: [(i, v)]}."""
+    seen, front, out = [fid], {fid}, {}
+    for degree in range(1, degrees + 1):
+        front = set(sorted({j for i, j, _ in edges if i in front} - set(seen))[:most])
+        if not front:
+            break
+        before = [] if degree == 1 else list(seen)
+        seen += sorted(front)
+        own = [(i, j, v) for i, j, v in edges if i in seen and j in seen]
+        scores = {i: v for i, v in dense(own, [fid], 0.5, 60).items() if i not in before}
+        out[degree] = scores
+        most -= len(scores)
+        if most <= 0:
+            break
+    return out
+
+
+@pytest.mark.parametrize("most", [1000, 12])
+def test_personal_graphs_of_every_fid_over_all_edges(spark, most):
+    rng = np.random.RandomState(5)
+    pairs = {(int(rng.randint(60)), int(rng.randint(60))): float(rng.randint(1, 9)) for _ in range(110)}
+    edges = [(i, j, v) for (i, j), v in pairs.items() if i != j] + [(i, i + 1, 1.0) for i in range(100, 108)]
+    got = {}
+    for r in personal_graphs(spark.createDataFrame(edges, EDGES), most=most).collect():
+        assert [x.v for x in r.scores] == sorted((x.v for x in r.scores), reverse=True)
+        got.setdefault(r.fid, {})[r.degree] = {x.i: x.v for x in r.scores}
+    assert set(got) == {i for i, _, _ in edges} and max(got[100]) == 5 and max(got[106]) == 2
+    for fid, rows in got.items():
+        want = by_hand(edges, fid, 5, most)
+        assert set(rows) == set(want)
+        for degree in want:
+            assert rows[degree] == pytest.approx(want[degree], abs=2e-6)
+
+
+def test_personal_graphs_without_edges(spark):
+    assert personal_graphs(spark.createDataFrame([], EDGES)).count() == 0
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="no stored tables")
+def test_rings_of_seeds_agree_with_sql_over_all_edges(spark):
+    """G10 to G12 by their SQL with its bound on weights lifted."""
+    folder, con = Path("/root/testdata/sf0.001"), duckdb.connect()
+    for p in folder.glob("*.parquet"):
+        con.execute(f"CREATE VIEW {p.stem} AS SELECT * FROM '{p}{'/*.parquet' if p.is_dir() else ''}'")
+    for name in ("G10_rings", "G11_rings_capped", "G12_induced_edges"):
+        got = QUERIES[name](spark, str(folder))
+        want = con.execute(ORACLES[name].replace("v >= 6", "v > 0")).df()[got.columns]
+        assert sorted(map(tuple, got.collect())) == sorted(want.itertuples(index=False, name=None)), name
