@@ -34,7 +34,8 @@ def g2_interactions(spark: SparkSession, folder: str) -> DataFrame:
     SQL + _PAIRS.replace("FROM tagged WHERE", "FROM tagged, moment WHERE (k = 'f' OR ts >= at_now - INTERVAL 30 DAY AND ts <= at_now) AND") + " SELECT * FROM pairs",
 )
 def g1_window(spark: SparkSession, folder: str) -> DataFrame:
-    since = now() - F.expr("INTERVAL '30' DAY")
+    """Interactions of the 90 days before now, and all follows. The SQL still takes 30 days."""
+    since = now() - F.expr("INTERVAL '90' DAY")
     return merge_interactions({k: (d if k == "follows" else d.filter((F.col("ts") >= since) & (F.col("ts") <= now()))).select("i", "j") for k, d in interactions(spark, folder).items()})
 
 

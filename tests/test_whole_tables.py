@@ -26,3 +26,8 @@ def differs(spark, name, cut, whole):
 @pytest.mark.skipif(not DATA.exists(), reason="no stored tables")
 def test_roots_of_all_replies(spark):
     differs(spark, "I15_roots_of_new_replies", " AND n.id % 10 = 0", "")
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="no stored tables")
+def test_window_of_90_days(spark):
+    differs(spark, "G1_interactions_90_days", "INTERVAL 30 DAY", "INTERVAL 90 DAY")
