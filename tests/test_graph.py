@@ -125,3 +125,33 @@ def test_rings_of_seeds_agree_with_sql_over_all_edges(spark):
         got = QUERIES[name](spark, str(folder))
         want = con.execute(ORACLES[name].replace("v >= 6", "v > 0")).df()[got.columns]
         assert sorted(map(tuple, got.collect())) == sorted(want.itertuples(index=False, name=None)), name
+
+
+CHAIN = [(i, i + 1, 1.0) for i in range(1, 12)]
+
+
+def test_main_graph_settles(spark, monkeypatch):
+    """The end of a chain is 11 steps from the seed: after five it has nothing yet."""
+    monkeypatch.setattr(trust, "_pairs", lambda *_: None)
+    monkeypatch.setattr(trust, "local_trust", lambda *_: spark.createDataFrame(CHAIN, EDGES))
+    monkeypatch.setattr(trust, "top_tier", lambda *_: spark.createDataFrame([(1, 1.0)], "i bigint, v double"))
+    got = {r.i: r.v for r in QUERIES["G7_eigentrust_settled"](spark, "").collect()}
+    assert got == pytest.approx(dense(CHAIN, [1], 0.5, 80), abs=2e-6) and got[12] > 1e-4
+
+
+def test_channel_graphs_settle(spark, monkeypatch):
+    rows = [("a", *e) for e in CHAIN] + [("b", 1, 2, 1.0), ("b", 2, 1, 3.0), ("b", 2, 3, 1.0)]
+    monkeypatch.setattr(trust, "channel_trust", lambda *_: spark.createDataFrame(rows, "channel_id string, " + EDGES))
+    monkeypatch.setattr(trust, "channel_seeds", lambda *_: spark.createDataFrame([("a", 1, 1.0), ("b", 99, 1.0)], "channel_id string, i bigint, v double"))
+    got = {(r.channel_id, r.fid): r.score for r in QUERIES["G21_channel_trust_scores_settled"](spark, "").collect()}
+    want = {("a", i): v for i, v in dense(CHAIN, [1], 0.5, 80).items()} | {("b", i): v for i, v in dense([e[1:] for e in rows if e[0] == "b"], [], 0.5, 80).items()}
+    assert got == pytest.approx(want, abs=2e-6)
+
+
+def test_tip_graph_settles(spark, monkeypatch):
+    """Around a ring of two, trust dies down by a tenth a step only."""
+    tips = [(1, 2), (2, 1)]
+    monkeypatch.setattr(trust, "interactions", lambda *_: {"mentions": spark.createDataFrame(tips, "i bigint, j bigint")})
+    monkeypatch.setattr(trust, "g6_proportional", lambda *_: spark.createDataFrame([(1, 1.0)], "i bigint, v double"))
+    got = {r.i: r.v for r in QUERIES["G23_tip_graph_rank"](spark, "").collect()}
+    assert got == pytest.approx({1: 1 / 1.9, 2: 0.9 / 1.9}, abs=1e-5)
