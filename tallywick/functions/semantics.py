@@ -82,6 +82,11 @@ def week_end_9am(ts: str, offset_hours: int) -> Column:
     return (end - shift if offset_hours >= 0 else end + shift).cast("timestamp_ntz")
 
 
+def mixed(column: str, seed: int) -> Column:
+    """A whole number that looks random but follows from a key (0 or more) and a seed: a linear congruence that any SQL engine can say."""
+    return (F.col(column) % 2_147_483_647 * 1_103_515_245 + seed * 12_345) % 2_147_483_647
+
+
 def parse_weights(text: str) -> dict[str, int]:
     """`L1C10R5Y1` to weights of like, cast, recast and reply; a missing part is 0, another order an error."""
     m = re.fullmatch(r"(?:L(\d+))?(?:C(\d+))?(?:R(\d+))?(?:Y(\d+))?", text.upper())

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.semantics import SCORE_AGGREGATES, asc, desc, distinct_sorted
+from ..functions.semantics import SCORE_AGGREGATES, asc, desc, distinct_sorted, mixed
 from ..operators.graph import ranked
 from ..sources.tables import table
 from .registry import query
@@ -129,11 +129,11 @@ def a13_having(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n")).filter("n >= 12")
 
 
-@query("W4_shuffled_within_bucket", None)
+@query("W4_shuffled_within_bucket", "SELECT o_orderkey, row_number() OVER (PARTITION BY CAST(o_orderdate AS DATE) ORDER BY (o_orderkey % 2147483647 * 1103515245 + 11 * 12345) % 2147483647, o_orderkey) AS place FROM orders")
 def w4_shuffled(spark: SparkSession, folder: str) -> DataFrame:
     """An order within each day that looks random and is the same in every run."""
     day = F.col("o_orderdate").cast("date")
-    return table(spark, folder, "orders").select("o_orderkey", F.row_number().over(W.partitionBy(day).orderBy(F.xxhash64(F.lit(11), "o_orderkey"), "o_orderkey")).alias("place"))
+    return table(spark, folder, "orders").select("o_orderkey", F.row_number().over(W.partitionBy(day).orderBy(mixed("o_orderkey", 11), "o_orderkey")).cast("bigint").alias("place"))
 
 
 @query("W9_W10_shared_ranks_and_running_sums", "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, rank() OVER (PARTITION BY l_orderkey ORDER BY l_quantity DESC) AS place, sum(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_quantity, l_partkey, l_linenumber ROWS UNBOUNDED PRECEDING) AS so_far FROM lineitem")
@@ -154,9 +154,9 @@ def o1_page(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").orderBy(desc("lang"), asc("doc_id")).offset(10).limit(40).select("doc_id", "lang")
 
 
-@query("O6_reproducible_sample", None)
+@query("O6_reproducible_sample", "SELECT c_custkey FROM customer ORDER BY (c_custkey % 2147483647 * 1103515245 + 3 * 12345) % 2147483647, c_custkey LIMIT 20")
 def o6_sample(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "customer").orderBy(F.xxhash64(F.lit(3), "c_custkey"), "c_custkey").limit(20).select("c_custkey")
+    return table(spark, folder, "customer").orderBy(mixed("c_custkey", 3), "c_custkey").limit(20).select("c_custkey")
 
 
 @query("U1_U2_unions", "SELECT k, count(*) AS n FROM (SELECT o_custkey AS k FROM orders UNION ALL SELECT DISTINCT k FROM (SELECT c_custkey AS k FROM customer UNION SELECT l_suppkey FROM lineitem)) GROUP BY k")

@@ -40,8 +40,10 @@ def scored_posts(acts: DataFrame, raters: DataFrame, feed: Feed) -> DataFrame:
     return per_rater.groupBy(*feed.by).agg(SCORE_AGGREGATES[feed.aggregate](F.col("s")).alias("cast_score"), F.count(F.lit(1)).alias("raters"), F.min("first").alias("first_action"), F.max("last").alias("last_action"))
 
 
-def _raters(spark: SparkSession, folder: str, strategy: int = 9, most: int = 1_000_000) -> DataFrame:
-    return global_rank(spark, folder).filter(f"strategy_id = {strategy} and rank <= {most}").select(F.col("profile_id").alias("fid"), "score")
+def _raters(spark: SparkSession, folder: str, strategy: int = 9, most: int | None = None) -> DataFrame:
+    """The profiles of a strategy with their scores: all, or those of rank `most` and better."""
+    g = global_rank(spark, folder).filter(F.col("strategy_id") == strategy)
+    return (g if most is None else g.filter(F.col("rank") <= most)).select(F.col("profile_id").alias("fid"), "score")
 
 
 def _window_sql(days: int, weights: tuple[int, int, int, int], decay_: str = "1", raters: str = "SELECT profile_id AS fid, score FROM grank WHERE strategy_id = 9", keys: str = "a.cast_id", on: str = "a.fid = r.fid") -> str:
@@ -248,11 +250,11 @@ def f18_leaderboard(spark: SparkSession, folder: str) -> DataFrame:
     return w.crossJoin(F.broadcast(total)).join(above, "w").select("fid", "w", F.round(F.col("w") / F.col("total"), 8).alias("share"), "place")
 
 
-@query("F20_sampled_channels_per_fid", None)
+@query("F20_sampled_channels_per_fid", SQL + " SELECT fid, channel_id FROM (SELECT fid, channel_id, row_number() OVER (PARTITION BY fid ORDER BY md5('7' || channel_id), channel_id) AS r FROM (SELECT DISTINCT fid, channel_id FROM crank)) WHERE r <= 3")
 def f20_sample(spark: SparkSession, folder: str) -> DataFrame:
     """Up to three channels of each fid, in an order that only a seed and the names decide."""
     own = channel_rank(spark, folder).select("fid", "channel_id").distinct()
-    r = F.row_number().over(W.partitionBy("fid").orderBy(F.xxhash64(F.lit(7), "channel_id"), "channel_id"))
+    r = F.row_number().over(W.partitionBy("fid").orderBy(F.md5(F.concat(F.lit("7"), "channel_id")), "channel_id"))
     return own.withColumn("r", r).filter("r <= 3").drop("r")
 
 

@@ -21,7 +21,7 @@ def i1_actions(spark: SparkSession, folder: str) -> DataFrame:
     return actions(spark, folder)
 
 
-@query("I3_gap_fill", SQL + ", known AS (SELECT * FROM actions WHERE (cast_id + fid) % 3 <> 0) SELECT a.cast_id, a.fid, a.action_ts FROM actions a WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.cast_id = a.cast_id AND k.fid = a.fid AND k.action_ts = a.action_ts)")
+@query("I3_gap_fill", SQL + ", have AS MATERIALIZED (SELECT cast_id, fid, action_ts FROM actions), known AS MATERIALIZED (SELECT * FROM have WHERE (cast_id + fid) % 3 <> 0) SELECT a.cast_id, a.fid, a.action_ts FROM have a ANTI JOIN known k ON k.cast_id = a.cast_id AND k.fid = a.fid AND k.action_ts = a.action_ts")
 def i3_gap_fill(spark: SparkSession, folder: str) -> DataFrame:
     """The actions that a table with gaps (every third missing) lacks."""
     a = actions(spark, folder).select("cast_id", "fid", "action_ts")
@@ -177,7 +177,7 @@ def k21_fixup(spark: SparkSession, folder: str) -> DataFrame:
     c = table(spark, folder, "casts").select("id", "hash").distinct()
     twice = c.withColumn("a", F.when(F.col("id") % 2 == 0, F.concat(F.lit("0x"), F.hex(F.encode(hex_text("hash"), "UTF-8")))).otherwise(hex_text("hash")))
     doubled = F.col("a").rlike("^0x3078([0-9A-Fa-f]{2})+$") & (F.length("a") > 46)
-    return twice.select("id", F.when(doubled, F.decode(F.unhex(F.substring("a", 3, 200)), "UTF-8")).otherwise(F.col("a")).alias("address"))
+    return twice.select("id", F.when(doubled, F.decode(F.unhex(F.expr("substring(a, 3)")), "UTF-8")).otherwise(F.col("a")).alias("address"))
 
 
 @query("T6_weekly_buckets", "SELECT strftime(date_trunc('week', ts - INTERVAL 8 HOUR - INTERVAL 9 HOUR) + INTERVAL 7 DAY + INTERVAL 9 HOUR - INTERVAL 1 SECOND + INTERVAL 8 HOUR, '%Y-%m-%d %H:%M:%S') AS week_end, count(*) AS events, count(DISTINCT user_id) AS users FROM events GROUP BY ALL")

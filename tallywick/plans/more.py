@@ -22,9 +22,9 @@ def i2_backfill(spark: SparkSession, folder: str) -> DataFrame:
     return a.drop("channel_id")
 
 
-@query("I15_roots_of_new_replies", SQL + " SELECT n.id, CASE WHEN p.id IS NULL THEN NULL ELSE '0x' || lower(hex(coalesce(p.root_parent_hash, p.hash))) END AS root, p.root_parent_url AS url FROM cur n LEFT JOIN cur p ON n.parent_hash = p.hash WHERE octet_length(n.parent_hash) > 0 AND n.id % 10 = 0")
+@query("I15_roots_of_new_replies", SQL + " SELECT n.id, CASE WHEN p.id IS NULL THEN NULL ELSE '0x' || lower(hex(coalesce(p.root_parent_hash, p.hash))) END AS root, p.root_parent_url AS url FROM cur n LEFT JOIN cur p ON n.parent_hash = p.hash WHERE octet_length(n.parent_hash) > 0")
 def i15_roots(spark: SparkSession, folder: str) -> DataFrame:
-    """Every reply takes root and channel of the cast it answers, as stored; a parent without root is one itself. The SQL still has every tenth row only."""
+    """Every reply takes root and channel of the cast it answers, as stored; a parent without root is one itself."""
     c = current_casts(spark, folder, "hash", "parent_hash", "root_parent_hash", "root_parent_url")
     known = c.select(F.col("hash").alias("parent_hash"), F.coalesce("root_parent_hash", "hash").alias("root"), F.col("root_parent_url").alias("url"))
     new = c.filter("length(parent_hash) > 0").select("id", "parent_hash")

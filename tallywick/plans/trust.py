@@ -31,10 +31,10 @@ def g2_interactions(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "G1_interactions_90_days",
-    SQL + _PAIRS.replace("FROM tagged WHERE", "FROM tagged, moment WHERE (k = 'f' OR ts >= at_now - INTERVAL 30 DAY AND ts <= at_now) AND") + " SELECT * FROM pairs",
+    SQL + _PAIRS.replace("FROM tagged WHERE", "FROM tagged, moment WHERE (k = 'f' OR ts >= at_now - INTERVAL 90 DAY AND ts <= at_now) AND") + " SELECT * FROM pairs",
 )
 def g1_window(spark: SparkSession, folder: str) -> DataFrame:
-    """Interactions of the 90 days before now, and all follows. The SQL still takes 30 days."""
+    """Interactions of the 90 days before now, and all follows."""
     since = now() - F.expr("INTERVAL '90' DAY")
     return merge_interactions({k: (d if k == "follows" else d.filter((F.col("ts") >= since) & (F.col("ts") <= now()))).select("i", "j") for k, d in interactions(spark, folder).items()})
 
@@ -143,26 +143,25 @@ def g9_direct(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _BEST5 = "(SELECT profile_id FROM grank WHERE strategy_id = 9 AND rank <= 5)"
-_STRONG = ", strong AS (SELECT * FROM edges WHERE v >= 6)"
 _RINGS = f""", r0 AS (SELECT profile_id AS seed, profile_id AS node, 0 AS degree FROM {_BEST5}),
-  r1 AS (SELECT DISTINCT seed, j AS node, 1 AS degree FROM r0 JOIN strong ON i = node WHERE NOT EXISTS (SELECT 1 FROM r0 x WHERE x.seed = r0.seed AND x.node = j)),
-  r2 AS (SELECT DISTINCT seed, j AS node, 2 AS degree FROM r1 JOIN strong ON i = node WHERE NOT EXISTS (SELECT 1 FROM (SELECT * FROM r0 UNION ALL SELECT * FROM r1) x WHERE x.seed = r1.seed AND x.node = j)),
+  r1 AS (SELECT DISTINCT seed, j AS node, 1 AS degree FROM r0 JOIN edges ON i = node WHERE NOT EXISTS (SELECT 1 FROM r0 x WHERE x.seed = r0.seed AND x.node = j)),
+  r2 AS (SELECT DISTINCT seed, j AS node, 2 AS degree FROM r1 JOIN edges ON i = node WHERE NOT EXISTS (SELECT 1 FROM (SELECT * FROM r0 UNION ALL SELECT * FROM r1) x WHERE x.seed = r1.seed AND x.node = j)),
   ring AS (SELECT * FROM r0 UNION ALL SELECT * FROM r1 UNION ALL SELECT * FROM r2)"""
 
 
 def _around(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """All edges, and the five best profiles as seeds. The SQL of G10 to G12 still leaves out the edges of weight under 6."""
+    """All edges, and the five best profiles as seeds."""
     return materialise(local_trust(_pairs(spark, folder), 3), "edges"), top_tier(spark, folder, 5)
 
 
-@query("G10_rings", SQL + _EDGES3 + _STRONG + _RINGS + " SELECT * FROM ring")
+@query("G10_rings", SQL + _EDGES3 + _RINGS + " SELECT * FROM ring")
 def g10_rings(spark: SparkSession, folder: str) -> DataFrame:
     return rings(*_around(spark, folder), 2)
 
 
 @query(
     "G11_rings_capped",
-    SQL + _EDGES3 + _STRONG + _RINGS + " SELECT seed, node, degree FROM (SELECT *, row_number() OVER (PARTITION BY seed ORDER BY degree, node) AS place FROM ring WHERE degree > 0) WHERE place <= 50",
+    SQL + _EDGES3 + _RINGS + " SELECT seed, node, degree FROM (SELECT *, row_number() OVER (PARTITION BY seed ORDER BY degree, node) AS place FROM ring WHERE degree > 0) WHERE place <= 50",
 )
 def g11_capped(spark: SparkSession, folder: str) -> DataFrame:
     """The first 50 neighbours of each seed, nearer rings first and by id within one."""
@@ -170,7 +169,7 @@ def g11_capped(spark: SparkSession, folder: str) -> DataFrame:
     return rings(*_around(spark, folder), 2).filter("degree > 0").withColumn("place", place).filter("place <= 50").drop("place")
 
 
-@query("G12_induced_edges", SQL + _EDGES3 + _STRONG + _RINGS + " SELECT a.seed, s.i, s.j, s.v FROM strong s JOIN ring a ON a.node = s.i JOIN ring b ON b.node = s.j AND b.seed = a.seed")
+@query("G12_induced_edges", SQL + _EDGES3 + _RINGS + " SELECT a.seed, s.i, s.j, s.v FROM edges s JOIN ring a ON a.node = s.i JOIN ring b ON b.node = s.j AND b.seed = a.seed")
 def g12_induced(spark: SparkSession, folder: str) -> DataFrame:
     edges, seeds = _around(spark, folder)
     return induced_edges(edges, rings(edges, seeds, 2))
