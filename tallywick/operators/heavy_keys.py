@@ -1,102 +1,169 @@
-"""Per-key results without imbalance: mergeable counts, and exact quantiles by refining value histograms."""
+"""Per-key results without imbalance: mergeable counts, and exact selection of ranks by refining value histograms.
+
+Values are selected by an order-preserving whole number: whole numbers and decimals by themselves, doubles by their bits.
+A round cuts the interval that holds a rank into at most BINS bins of equal width, counts them on the map side first, and
+goes on with the bin that holds the rank, narrowed to the values it really has. So a rank among 64-bit numbers is settled
+after seven rounds at most, whatever the values and however many there are, and values are never gathered.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DateType, DecimalType, IntegralType, TimestampNTZType, TimestampType
+
+from ..storage import BROADCAST_ROWS, materialise
+
+BITS = 10
+BINS = 1 << BITS
 
-from ..storage import lookup, materialise
 
-BINS = 64
-#: Keys with up to so many values are resolved from their sorted values.
-LIGHT_ROWS = 1000
+def double_bits(x: str) -> Column:
+    """The 64 bits of a double (not NaN) as a whole number in the order of the doubles: for x >= 0 as they are stored, for x < 0 those of -x, negated.
+
+    Exact: the exponent by a logarithm put right by one where it was rounded, the rest by scaling with powers of two.
+    """
+    a = f"abs({x})"
+    guess = f"greatest(-1022, least(1023, cast(floor(log2({a})) as int)))"
+    near = f"({a} * pow(2d, -({guess})))"
+    e = f"(({guess}) + case when {near} >= 2 then 1 when {near} < 1 and ({guess}) > -1022 then -1 else 0 end)"
+    normal = f"({e} + 1023L) * 4503599627370496L + cast(({a} * pow(2d, -{e}) - 1) * 4503599627370496d as bigint)"
+    small = f"cast(({a} * pow(2d, 537)) * pow(2d, 537) as bigint)"
+    bits = f"case when {x} = 0 then 0L when {a} = double('Infinity') then 9218868437227405312L when {a} < pow(2d, -1022) then {small} else {normal} end"
+    return F.expr(f"case when {x} < 0 then -({bits}) else {bits} end")
+
+
+def _ordered(c: str, kind: DataType) -> Column:
+    """The order-preserving whole number of a value: a bigint, or decimal(38,0) for decimals of more than 18 digits."""
+    if isinstance(kind, DecimalType):
+        whole = F.expr(f"cast({c} * cast('1{'0' * kind.scale}' as decimal({kind.scale + 1},0)) as decimal(38,0))")
+        return whole.cast("bigint") if kind.precision <= 18 else whole
+    if isinstance(kind, (TimestampType, TimestampNTZType)):
+        return F.unix_micros(F.col(c).cast("timestamp"))
+    if isinstance(kind, DateType):
+        return F.unix_date(c).cast("bigint")
+    return F.col(c).cast("bigint") if isinstance(kind, IntegralType) else double_bits(c)
+
+
+def _typed(df: DataFrame, value: str) -> Column:
+    """The value as it is compared: floats and texts as doubles, other kinds as they are; NaN as null."""
+    kind, c = df.schema[value].dataType, F.col(f"`{value}`")
+    if isinstance(kind, (DecimalType, IntegralType, DateType, TimestampType, TimestampNTZType)):
+        return c
+    c = c.cast("double")
+    return F.when(~F.isnan(c), c)
 
 
 def key_summary(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Per key: rows (all), n_values (neither null nor NaN), least, greatest and total value.
+    """Per key: rows (all), n_values (neither null nor NaN), least, greatest and total value (null for dates and times).
 
     Partial aggregates are combined before the shuffle, so a hot key sends one row per map task. A null key is a key.
     """
-    v = F.when(~F.isnan(F.col(value).cast("double")), F.col(value).cast("double"))
+    v = _typed(df, value)
     rows = df.select(F.col(key).alias("key"), v.alias("v"))
-    return rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.count("v").alias("n_values"), F.min("v").alias("least"), F.max("v").alias("greatest"), F.sum("v").alias("total"))
+    kind = rows.schema["v"].dataType
+    total = F.sum("v") if isinstance(kind, DecimalType) else F.lit(None).cast("double") if isinstance(kind, (DateType, TimestampType, TimestampNTZType)) else F.sum(F.col("v").cast("double"))
+    return rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.count("v").alias("n_values"), F.min("v").alias("least"), F.max("v").alias("greatest"), total.alias("total"))
 
 
-def _grid(summary: DataFrame, quantiles: tuple[float, ...]) -> DataFrame:
-    rows = summary.filter("n_values > 0").select("key", "n_values", F.col("least").alias("lo"), F.col("greatest").alias("hi"))
-    rows = rows.withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in quantiles])))
-    return rows.select("key", "q", F.greatest(F.lit(1), F.ceil(F.col("q") * F.col("n_values"))).cast("bigint").alias("rank"), "lo", "hi")
+def select_ranks(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The value at each wanted rank: g, rank, v, o, and n, how many rows of g have an o equal to it.
 
-
-def exact_quantiles(df: DataFrame, key: str, value: str, summary: DataFrame, quantiles: tuple[float, ...], max_rounds: int = 80) -> DataFrame:
-    """The exact value at rank ceil(q * n) of each key and quantile q: key, q, quantile_value.
-
-    Every open (key, q) has an interval [lo, hi] that holds its rank. A round counts the values of the interval's 64 bins
-    with their least and greatest value, on the map side first; the bin with the rank, narrowed to the values it really
-    has, is the next interval. It is settled when lo = hi, so masses of equal values settle at once. Values are never
-    gathered: a round moves at most 64 rows per open (key, q) and map task. Nulls and NaN don't count; a key without
-    values has no row. Infinite values settle too: they form bins of their own.
+    rows (g, o, v): o a bigint or decimal(38,0) in the order of v, not null; g may be null. wanted (g, rank, lo, hi): ranks
+    from 1 among the rows of g, and the least and greatest o of g. A round moves at most BINS + 1 rows per open interval
+    and map task; ranks that share an interval share its bins. rows are read once per round, by joins on g and the leading
+    bits that all values of an interval share, which AQE splits where one g holds much.
     """
-    v = F.col(value).cast("double")
-    rows = df.select(F.col(key).alias("key"), v.alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    grid = materialise(_grid(summary, quantiles), "grid")
-    settled = [grid.filter("lo = hi")]
-    open_ = lookup(grid.filter("lo != hi"), "open")
-    for _ in range(max_rounds):
-        if open_.isEmpty():
+    wide = isinstance(rows.schema["o"].dataType, DecimalType)
+    length = lambda lo, hi: f"case when ({lo} ^ {hi}) < 0 then 64 else length(bin({lo} ^ {hi})) end"
+    open_ = materialise(wanted.select("g", "rank", F.col("rank").alias("left"), "lo", "hi"), "wanted")
+    settled = []
+    while True:
+        most = F.lit(0) if wide else F.max(F.expr(length("lo", "hi")))
+        todo, bits = open_.agg(F.count(F.lit(1)), most).first()
+        if not todo:
             break
-        inside = rows.join(open_, rows["key"].eqNullSafe(open_["key"])).filter("v >= lo and v <= hi").drop(open_["key"])
-        # Halves are taken before the difference, which could overflow; infinite ends have bins of their own.
-        share = F.expr(f"floor({BINS} * ((v / 2 - greatest(lo, -1.7e308) / 2) / (least(hi, 1.7e308) / 2 - greatest(lo, -1.7e308) / 2)))")
-        bin_ = F.expr("case when v = double('-Infinity') then -2 when v = double('Infinity') then 1000 end").alias("edge")
-        binned = inside.withColumn("bin", F.coalesce(bin_, F.when(F.expr("least(hi, 1.7e308) <= greatest(lo, -1.7e308)"), 0).otherwise(F.greatest(F.least(share, F.lit(BINS)), F.lit(-1)))).cast("int"))
-        counts = binned.groupBy("key", "q", "rank", "bin").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-        bins = counts.groupBy("key", "q", "rank").agg(F.array_sort(F.collect_list(F.struct("bin", "n", "lo", "hi"))).alias("bins"))
-        walk = F.aggregate(
-            "bins",
-            F.struct(F.lit(0).cast("bigint").alias("below"), F.lit(None).cast("bigint").alias("rank"), F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi")),
-            lambda acc, b: F.when(acc["rank"].isNull() & (acc["below"] + b["n"] >= F.col("rank")), F.struct(acc["below"].alias("below"), (F.col("rank") - acc["below"]).alias("rank"), b["lo"].alias("lo"), b["hi"].alias("hi")))
-            .otherwise(F.struct(F.when(acc["rank"].isNull(), acc["below"] + b["n"]).otherwise(acc["below"]).alias("below"), acc["rank"].alias("rank"), acc["lo"].alias("lo"), acc["hi"].alias("hi"))),
-        )
-        step = materialise(bins.select("key", "q", walk.alias("s")).select("key", "q", "s.rank", "s.lo", "s.hi"), "step")
-        settled.append(step.filter("lo = hi"))
-        open_ = lookup(step.filter("lo != hi"), "open")
-    else:
-        raise RuntimeError("histograms did not settle")
+        intervals = open_.select("g", "lo", "hi").distinct()
+        if wide:
+            rows_at, at = rows.withColumn("prefix", F.lit(0)), intervals.withColumn("prefix", F.lit(0))
+            bin_ = F.expr(f"cast((o - lo) div (floor((hi - lo) / {BINS}) + 1) as int)")
+        else:
+            shared = lambda c: F.lit(0) if bits >= 63 else F.shiftright(c, bits)
+            rows_at, at = rows.withColumn("prefix", shared("o")), intervals.withColumn("prefix", shared("lo"))
+            bin_ = F.shiftright("o", max(bits - BITS, 0))
+        at = at.select(F.col("g").alias("g2"), F.col("prefix").alias("prefix2"), "lo", "hi")
+        near = rows_at.join(F.broadcast(at) if todo <= BROADCAST_ROWS else at, F.col("g").eqNullSafe(F.col("g2")) & (F.col("prefix") == F.col("prefix2")) & F.col("o").between(F.col("lo"), F.col("hi")))
+        bins = near.select("g", "lo", bin_.alias("bin"), "o", "v").groupBy("g", "lo", "bin").agg(F.count(F.lit(1)).alias("n"), F.min("o").alias("bl"), F.max("o").alias("bh"), F.min("v").alias("v"))
+        upto = F.sum("n").over(W.partitionBy("g", "lo").orderBy("bin"))
+        bins = bins.withColumn("upto", upto).select(F.col("g").alias("g2"), F.col("lo").alias("lo2"), "n", "bl", "bh", "v", "upto")
+        hit = open_.join(bins, F.col("g").eqNullSafe(F.col("g2")) & (F.col("lo") == F.col("lo2")) & (F.col("left") <= F.col("upto")) & (F.col("left") > F.col("upto") - F.col("n")))
+        step = materialise(hit.select("g", "rank", (F.col("left") - F.col("upto") + F.col("n")).alias("left"), F.col("bl").alias("lo"), F.col("bh").alias("hi"), "v", "n"), "step")
+        settled.append(step.filter("lo = hi").select("g", "rank", "v", F.col("lo").alias("o"), "n"))
+        open_ = step.filter("lo != hi").select("g", "rank", "left", "lo", "hi")
+    if not settled:
+        return wanted.join(rows.withColumnRenamed("g", "g2"), F.lit(False)).select("g", "rank", "v", "o", F.lit(0).cast("bigint").alias("n"))
     done = settled[0]
     for s in settled[1:]:
         done = done.unionByName(s)
-    return done.select("key", "q", F.col("lo").alias("quantile_value"))
-
+    return done
 
-def light_quantiles(rows: DataFrame, grid: DataFrame) -> DataFrame:
-    """The same for keys of at most LIGHT_ROWS values: their sorted values, a bounded list per key."""
-    lists = rows.groupBy("key").agg(F.array_sort(F.collect_list("v")).alias("vs"))
-    both = grid.join(lists, grid["key"].eqNullSafe(lists["key"])).drop(lists["key"])
-    return both.select("key", "q", F.expr("element_at(vs, cast(rank as int))").alias("quantile_value"))
 
+def exact_quantiles(df: DataFrame, key: str, value: str, summary: DataFrame, quantiles: tuple[float, ...]) -> DataFrame:
+    """The exact value at rank ceil(q * n) of each key of `summary` and quantile q: key, q, quantile_value.
 
-def key_profile(df: DataFrame, key: str, value: str, quantiles: tuple[float, ...] = (0.5, 0.9), heavy_share: float = 0.01, only_heavy: bool = False, light_rows: int = LIGHT_ROWS) -> DataFrame:
+    Nulls and NaN don't count; a key without values has no row. Infinite values are values.
+    """
+    v = _typed(df, value)
+    rows = df.select(F.col(key).alias("g"), v.alias("v")).filter(F.col("v").isNotNull())
+    kind = rows.schema["v"].dataType
+    rows = materialise(rows.select("g", _ordered("v", kind).alias("o"), "v"), "values")
+    known = summary.filter("n_values > 0").withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in quantiles])))
+    rank = F.greatest(F.lit(1), F.ceil(F.col("q") * F.col("n_values"))).cast("bigint")
+    grid = materialise(known.select("key", "q", rank.alias("rank"), _ordered("least", kind).alias("lo"), _ordered("greatest", kind).alias("hi")), "grid")
+    found = select_ranks(rows, grid.select(F.col("key").alias("g"), "rank", "lo", "hi").distinct())
+    found = found.select("g", F.col("rank").alias("rank2"), F.col("v").alias("quantile_value"))
+    return grid.join(found, F.col("key").eqNullSafe(F.col("g")) & (F.col("rank") == F.col("rank2"))).select("key", "q", "quantile_value")
+
+
+def heavy_keys(df: DataFrame, key: str, share: float = 0.01) -> DataFrame:
+    """The keys that hold at least `share` of all rows: key, n_rows, total_rows. A null key is a key; other columns are ignored.
+
+    By exact selection, without a row per key: in the order of the keys' hashes a heavy key takes at least
+    ceil(share * rows) ranks in a row, so one of every so many ranks is its own. The values at those ranks, at most
+    1 / share, are refined from histograms of the hashes, and how many rows have them is what the last bin counts. Hashes
+    that hold enough rows are then told apart by the keys themselves, exactly. Equal hashes can't hide a key.
+    """
+    rows = materialise(df.select(F.col(key).alias("key"), F.xxhash64(key).alias("o")), "hashes")
+    total, lo, hi = rows.agg(F.count(F.lit(1)), F.min("o"), F.max("o")).first()
+    whole = round(share * 1_000_000)
+    least = max(1, -(-total * whole // 1_000_000))
+    spark = df.sparkSession
+    kind = rows.schema["key"].dataType.simpleString()
+    if not total:
+        return spark.createDataFrame([], f"key {kind}, n_rows bigint, total_rows bigint")
+    wanted = spark.range(1, total // least + 1).select(F.lit(0).alias("g"), (F.col("id") * least).alias("rank"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi"))
+    found = select_ranks(rows.select(F.lit(0).alias("g"), "o", F.col("o").alias("v")), wanted)
+    heavy = found.filter(F.col("n") >= least).select("o").distinct()  # at most 1 / share rows
+    exact = rows.join(F.broadcast(heavy), "o").groupBy("key").agg(F.count(F.lit(1)).alias("n_rows"))
+    return exact.filter(F.col("n_rows") >= least).select("key", "n_rows", F.lit(total).cast("bigint").alias("total_rows"))
+
+
+def key_profile(df: DataFrame, key: str, value: str, quantiles: tuple[float, ...] = (0.5, 0.9), heavy_share: float = 0.01, only: DataFrame | None = None) -> DataFrame:
     """Per key: `key`, n_rows, share of all rows, heavy (share at least heavy_share), greatest, mean, and one column
-    q50... per quantile, the value at rank ceil(q * n). only_heavy: the heavy keys only.
+    q50... per quantile, the value at rank ceil(q * n), in the values' own type. only (key): these keys only.
 
     The heavy test is exact, in whole numbers of rows. Keys without values have null results. Null is a key; NaN and null
     values don't count, infinite ones do, and a mean over both infinities is NaN. Other columns of df are ignored. Empty
-    input gives no rows. Keys of more than light_rows values go through the histograms, however many there are.
+    input gives no rows. All keys go through the histograms, those of one value and those of billions.
     """
+    total = df.count()
+    if only is not None:
+        df = df.join(only.select(F.col("key").alias("__only")), F.col(key).eqNullSafe(F.col("__only")), "left_semi")
     summary = materialise(key_summary(df, key, value), "summary")
-    total = summary.agg(F.sum("rows")).first()[0] or 0
     heavy = F.col("rows").cast("decimal(38,0)") * 1_000_000 >= F.lit(total).cast("decimal(38,0)") * round(heavy_share * 1_000_000)
-    wanted = summary.filter(heavy) if only_heavy else summary
-    hot = lookup(wanted.filter(F.col("n_values") > light_rows), "hot")
-    found = exact_quantiles(df, key, value, hot, quantiles)
-    light = wanted.filter((F.col("n_values") > 0) & (F.col("n_values") <= light_rows))
-    if not only_heavy or not light.isEmpty():
-        v = F.col(value).cast("double")
-        rows = df.select(F.col(key).alias("key"), v.alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-        rest = hot if not only_heavy else lookup(summary.join(light, summary["key"].eqNullSafe(light["key"]), "left_anti"), "rest")
-        found = found.unionByName(light_quantiles(rows.join(rest, rows["key"].eqNullSafe(rest["key"]), "left_anti"), _grid(light, quantiles)))
+    found = exact_quantiles(df, key, value, summary, quantiles)
     wide = found.groupBy("key").agg(*[F.max(F.when(F.col("q") == F.lit(float(q)), F.col("quantile_value"))).alias(f"q{round(q * 100)}") for q in quantiles])
-    out = wanted.join(wide, wanted["key"].eqNullSafe(wide["key"]), "left").drop(wide["key"])
+    out = summary.join(wide, summary["key"].eqNullSafe(wide["key"]), "left").drop(wide["key"])
     mean = F.when(F.col("n_values") > 0, F.col("total") / F.col("n_values"))
     return out.select("key", F.col("rows").alias("n_rows"), (F.col("rows") / F.lit(max(total, 1))).alias("share"), heavy.alias("heavy"), "greatest", mean.alias("mean"), *[f"q{round(q * 100)}" for q in quantiles])

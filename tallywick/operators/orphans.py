@@ -12,7 +12,7 @@ BITS_PER_KEY = 12
 #: Bytes of filter that are broadcast at once. A larger filter is tested shard by shard, each within this size.
 SHARD_BYTES = 64 << 20
 #: Words of 64 bits in one row of the filter, so that what a row costs besides doesn't count.
-PACKED = 1024
+PACKED = 1 << 10
 
 
 def _place(key: str, words: int) -> tuple[F.Column, F.Column]:
@@ -24,7 +24,7 @@ def _place(key: str, words: int) -> tuple[F.Column, F.Column]:
 def bloom_filter(keys: DataFrame, words: int) -> DataFrame:
     """A register-blocked Bloom filter over keys(field, key), packed: one row (block, bits) per PACKED words, built in one shuffle. `words` is a multiple of PACKED."""
     word, bits = _place("key", words)
-    split = lambda df, w, b: df.select(F.floor(w / PACKED).alias("block"), (w % PACKED).cast("int").alias("at"), b.alias("b"))
+    split = lambda df, w, b: df.select(F.shiftright(w, 10).alias("block"), (w % PACKED).cast("int").alias("at"), b.alias("b"))
     zeros = keys.sparkSession.range(words)
     rows = split(keys, word, bits).unionByName(split(zeros, F.col("id"), F.lit(0).cast("bigint"))).repartition("block")
     full = rows.groupBy("block", "at").agg(F.bit_or("b").alias("b"))
@@ -52,7 +52,7 @@ def find_orphans(refs: DataFrame, targets: DataFrame, n_targets: int, shard_byte
     bloom = bloom_filter(keys, words)
     word, want = _place("ref", words)
     rows = refs.filter(F.col("ref").isNotNull()).select(F.struct("*").alias("row"), "field", "ref")  # other columns keep their names inside
-    rows = rows.withColumn("word", word).withColumn("block", F.floor(F.col("word") / PACKED))
+    rows = rows.withColumn("word", word).withColumn("block", F.shiftright("word", 10))
     if shards > 1:
         shard = F.floor(F.col("block") / per_shard).cast("int")
         bloom, rows = materialise(bloom.withColumn("shard", shard), "filter", ["shard"]), materialise(rows.withColumn("shard", shard), "refs", ["shard"])

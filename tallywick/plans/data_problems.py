@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import day_text, epoch_micros
-from ..operators.heavy_keys import key_profile
+from ..operators.heavy_keys import heavy_keys, key_profile
 from ..operators.hierarchy import hierarchy, paths
 from ..operators.late_events import ReplayLedger, first_arrivals, replay_in_batches
 from ..operators.orphans import find_orphans, orphans_by_period
@@ -173,14 +173,34 @@ def _delay(casts: DataFrame) -> DataFrame:
 _HEAVY = "SELECT '{0}' AS table_name, CAST({1} AS VARCHAR) AS key_value FROM {0} WHERE {1} IS NOT NULL GROUP BY {1} HAVING count(*) * 100 >= (SELECT count(*) FROM {0})"
 
 
+def _heavy(spark: SparkSession, folder: str) -> list[tuple[str, DataFrame, str, str, DataFrame]]:
+    """Of each of the two tables: name, rows, key, value, and its heavy keys."""
+    ranks, casts = table(spark, folder, "k3l_channel_rank"), table(spark, folder, "casts")
+    return [("k3l_channel_rank", ranks, "channel_id", "score", heavy_keys(ranks.select("channel_id"), "channel_id")), ("casts", _delay(casts), "fid", "delay", heavy_keys(casts.select("fid"), "fid"))]
+
+
 @query("p5_found", _HEAVY.format("k3l_channel_rank", "channel_id") + " UNION ALL " + _HEAVY.format("casts", "fid"))
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
-    channels = key_profile(table(spark, folder, "k3l_channel_rank"), "channel_id", "score", only_heavy=True)
-    fids = key_profile(_delay(table(spark, folder, "casts")), "fid", "delay", only_heavy=True)
-    named = [p.filter("heavy and key is not null").select(F.lit(t).alias("table_name"), F.col("key").cast("string").alias("key_value")) for t, p in (("k3l_channel_rank", channels), ("casts", fids))]
+    named = [h.filter("key is not null").select(F.lit(name).alias("table_name"), F.col("key").cast("string").alias("key_value")) for name, _, _, _, h in _heavy(spark, folder)]
     return named[0].unionByName(named[1])
 
 
+_PROFILE = "SELECT '{0}' AS table_name, CAST({1} AS VARCHAR) AS key_value, count(*) AS n_rows, round(CAST(quantile_disc({2}, 0.5) AS DOUBLE), 9) AS q50, round(CAST(quantile_disc({2}, 0.9) AS DOUBLE), 9) AS q90 FROM {3} WHERE {1} IS NOT NULL GROUP BY {1} HAVING count(*) * 100 >= (SELECT count(*) FROM {0})"
+
+
+@query(
+    "p5_heavy_quantiles",
+    _PROFILE.format("k3l_channel_rank", "channel_id", "score", "k3l_channel_rank") + " UNION ALL " + _PROFILE.format("casts", "fid", "delay", "(SELECT fid, date_diff('microsecond', timestamp, created_at) AS delay FROM casts)"),
+)
+def p5_heavy_quantiles(spark: SparkSession, folder: str) -> DataFrame:
+    """The heavy keys of both tables with median and ninth decile of their values, by the same histograms."""
+    out = []
+    for name, rows, key, value, heavy in _heavy(spark, folder):
+        p = key_profile(rows, key, value, only=materialise(heavy, "heavy")).filter("key is not null")
+        out.append(p.select(F.lit(name).alias("table_name"), F.col("key").cast("string").alias("key_value"), "n_rows", *[F.round(F.col(c).cast("double"), 9).alias(c) for c in ("q50", "q90")]))
+    return out[0].unionByName(out[1])
+
+
 @query(
     "p5_channel_scores",
     """SELECT channel_id, count(*) AS n_rows, round(CAST(max(score) AS DOUBLE), 9) AS greatest, round(avg(CAST(score AS DOUBLE)), 9) AS mean,
@@ -199,7 +219,7 @@ def p5_channel_scores(spark: SparkSession, folder: str) -> DataFrame:
 )
 def p5_fid_delays(spark: SparkSession, folder: str) -> DataFrame:
     p = key_profile(_delay(table(spark, folder, "casts")), "fid", "delay")
-    return p.select(F.col("key").alias("fid"), "n_rows", "greatest", "mean", "q50", "q90")
+    return p.select(F.col("key").alias("fid"), "n_rows", "mean", *[F.col(c).cast("double").alias(c) for c in ("greatest", "q50", "q90")])
 
 
 # ---- 6: rolling totals over trailing periods
