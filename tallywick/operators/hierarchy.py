@@ -1,27 +1,31 @@
 """Parent-child links to full hierarchies: subtree sizes upward, preorder ranges downward, nested sets for everything else.
 
-Nodes are cut into blocks of neighbouring ids. A block solves its own part with numpy: which of its nodes is the highest
-above each node (its top), and what adds up on the way. Only the tops whose parent lies in another block, and what they
-hang on, remain; they form a smaller forest of the same shape, solved in the same way until it fits one block. So the
-rounds follow the logarithm of the number of nodes, not the depth, and no tree is ever gathered, however large it is.
-Blocks work best if parents tend to have ids near their children's, as in threads numbered by arrival; where they don't,
-the result is the same, but the blocks grow.
+Nodes are cut into blocks of neighbouring ids, each of a fixed number of nodes at most: ids that leave gaps are numbered
+anew, in the same order. A block solves its own part with numpy: which of its nodes is the highest above each node (its
+top), and what adds up on the way. Only the tops whose parent lies in another block, and what they hang on, remain; they
+form a smaller forest of the same shape, solved in the same way until it fits one block.
+
+Where parents don't have ids near their children's, as with random ids, that leaves nearly as many nodes as before. Such a
+forest is contracted by joins instead: in each round all leaves are raked into their parents, and of the nodes with one
+child that isn't a leaf those that a coin picks are spliced out of the way up, no two of them next to each other. At least
+a quarter of the nodes is expected to go in each round, so the rounds follow the logarithm of the number of nodes and not the
+depth; what went away is put back in the opposite order. No task ever gets more than a block's number of nodes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..storage import lookup, materialise
 
-#: Nodes per block, and the size up to which a forest is solved as one block.
+#: Nodes per block at most, and the size up to which a forest is solved as one block.
 BLOCK = 50_000
+#: Ids per node up to which ids serve as they are; sparser ones are numbered anew.
+GAPS = 8
 
 
 class Rows:
@@ -94,35 +98,53 @@ class Forest:
         return top, totals
 
 
-def _blocks(nodes: DataFrame, rows: int) -> tuple[Callable[[str], F.Column], int]:
-    """The block of an id, such that blocks have `rows` nodes on average, and the number of nodes."""
+def _numbered(nodes: DataFrame) -> tuple[DataFrame, int, bool]:
+    """Nodes whose ids take at most GAPS times as many numbers as there are nodes, so that a stretch of ids is a bound for the nodes in it; how many they are; and whether they were numbered anew.
+
+    Then id and parent are places in the order of the ids, and own_id and own_parent what they were. The places come from
+    range partitions and the sizes of these, a row per partition, so that nothing is sorted in one task.
+    """
     n, lo, hi = nodes.agg(F.count(F.lit(1)), F.min("id"), F.max("id")).first()
-    width = max(1, (hi - lo + 1) * rows // n) if n else 1
-    return (lambda c: F.floor((F.col(c) - F.lit(lo or 0)) / F.lit(width)).cast("bigint")), n
+    if not n or hi - lo + 1 <= GAPS * n:
+        return nodes, n, False
+    row = F.monotonically_increasing_id()
+    placed = materialise(nodes.withColumnsRenamed({"id": "own_id", "parent": "own_parent"}).repartitionByRange("own_id").sortWithinPartitions("own_id").withColumn("row", row), "placed")
+    part = F.shiftright("row", 33)
+    sizes = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("size"))
+    before = F.coalesce(F.sum("size").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    placed = placed.withColumn("part", part).join(F.broadcast(sizes.select("part", before.alias("before"))), "part")
+    placed = placed.withColumn("id", F.col("before") + F.expr("row & 8589934591")).drop("part", "before", "row")
+    parents = placed.select(F.col("own_id").alias("own_parent"), F.col("id").alias("parent"))
+    return materialise(placed.join(parents, "own_parent", "left"), "numbered"), n, True
+
+
+def _renamed(done: DataFrame, anew: bool) -> DataFrame:
+    """The ids as they were."""
+    return done.drop("id", "parent").withColumnsRenamed({"own_id": "id", "own_parent": "parent"}) if anew else done
 
 
-def _next_rows(inner: DataFrame, n: int, rows: int) -> int:
-    """The block size for the smaller forest: four times larger blocks where neighbouring ids didn't hold enough parents to halve it, so that it always shrinks to one block."""
-    return rows if inner.count() <= n // 2 else rows * 4
+def _block(c: str, rows: int) -> Column:
+    """The block of an id: a stretch of `rows` numbers, which at most as many nodes have."""
+    return F.floor(F.col(c) / F.lit(rows)).cast("bigint")
 
 
 def _nulls(*names: str) -> list[F.Column]:
     return [F.lit(None).cast("bigint").alias(c) for c in names]
 
 
-def _with_given(nodes: DataFrame, given: DataFrame, block: Callable[[str], F.Column]) -> DataFrame:
+def _with_given(nodes: DataFrame, given: DataFrame, rows: int) -> DataFrame:
     """Nodes, and what is known of some of them from outside their block, as rows of one input by block."""
     given = given.select("*", *_nulls(*[c for c in nodes.columns if c not in given.columns]))
-    return nodes.withColumn("given", F.lit(False)).unionByName(given.withColumn("given", F.lit(True))).withColumn("block", block("id"))
+    return nodes.withColumn("given", F.lit(False)).unionByName(given.withColumn("given", F.lit(True))).withColumn("block", _block("id", rows))
 
 
-def _contract(nodes: DataFrame, block: Callable[[str], F.Column], upward: bool) -> tuple[DataFrame, DataFrame]:
+def _contract(nodes: DataFrame, block_rows: int, upward: bool) -> tuple[DataFrame, DataFrame]:
     """The smaller forest (id, parent, w, hop, label), and which of its nodes hangs on which node of another block (id, on).
 
     Upward its weights are those of the parts below the tops; downward those of the way from top to top.
     """
     nodes = nodes.select("id", "parent", "w", "hop", "label")
-    asked = nodes.filter(F.col("parent").isNotNull() & (block("id") != block("parent"))).select(F.col("parent").alias("id")).distinct()
+    asked = nodes.filter(F.col("parent").isNotNull() & (_block("id", block_rows) != _block("parent", block_rows))).select(F.col("parent").alias("id")).distinct()
 
     def local(table: pa.Table) -> pa.Table:
         rows = Rows.of(table)
@@ -145,7 +167,7 @@ def _contract(nodes: DataFrame, block: Callable[[str], F.Column], upward: bool)
             say(2, ends, parent=(f.ids[ends], ~looped), label=(own.v["label"][ends], shown(ends))),
         ])
 
-    found = materialise(_with_given(nodes, asked, block).groupBy("block").applyInArrow(local, "what bigint, id bigint, parent bigint, w bigint, hop bigint, label bigint"), "contract")
+    found = materialise(_with_given(nodes, asked, block_rows).groupBy("block").applyInArrow(local, "what bigint, id bigint, parent bigint, w bigint, hop bigint, label bigint"), "contract")
     tops, attach = found.filter("what = 0").select("id", F.col("parent").alias("on"), "w", "hop"), found.filter("what = 1")
     attach = attach.select(F.col("id").alias("on"), F.col("parent").alias("above"), F.col("w").alias("w2"), F.col("hop").alias("hop2"))
     hung = tops.join(attach, "on")
@@ -154,9 +176,93 @@ def _contract(nodes: DataFrame, block: Callable[[str], F.Column], upward: bool)
     return materialise(inner.unionByName(found.filter("what = 2").select(*inner.columns)), "inner"), tops.select("id", "on")
 
 
+def _raked(nodes: DataFrame, round_: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One round of raking and splicing of nodes (id, parent, w, hop, label, up): what is left, the leaves and the spliced nodes.
+
+    w and hop are on the way from the parent down to the node. `acc` of a node is the sum of `own` in what was raked into
+    it, its own included; `up` is what was spliced out of the way between the node and its parent. Spliced nodes come with
+    `only`, the child that stays, and `up_only`, what lay between the two.
+    """
+    kids = nodes.filter("parent is not null").groupBy(F.col("parent").alias("id")).agg(F.count(F.lit(1)).alias("kids"))
+    flagged = materialise(nodes.join(kids, "id", "left").withColumn("leaf", F.expr("kids is null and parent is not null")).drop("kids"), "flagged")
+    leaves, inner = flagged.filter("leaf").drop("leaf"), flagged.filter("not leaf").drop("leaf")
+    raked = leaves.groupBy(F.col("parent").alias("id")).agg(F.sum(F.col("acc") + F.col("up")).alias("got"))
+    stems = inner.filter("parent is not null").groupBy(F.col("parent").alias("id")).agg(F.count(F.lit(1)).alias("stems"), F.max("id").alias("only"), F.max("up").alias("up_only"))
+    full = inner.join(raked, "id", "left").withColumn("acc", F.col("acc") + F.coalesce("got", F.lit(0))).drop("got").join(stems, "id", "left")
+    coin = lambda c: F.pmod(F.xxhash64(F.lit(round_), c), F.lit(2))
+    spliced = (F.col("stems") == 1) & F.col("parent").isNotNull() & (F.col("parent") != F.col("id")) & (coin("id") == 1) & (coin("parent") == 0)
+    full = materialise(full.withColumn("spliced", F.coalesce(spliced, F.lit(False))).drop("stems"), "stems")
+    gone, stay = full.filter("spliced").drop("spliced"), full.filter("not spliced").drop("spliced", "only", "up_only")
+    skipped = gone.select(F.col("id").alias("parent"), F.col("parent").alias("p2"), F.col("w").alias("w2"), F.col("hop").alias("hop2"), (F.col("acc") + F.col("up")).alias("u2"))
+    add = lambda a, b: (F.col(a) + F.coalesce(b, F.lit(0))).alias(a)
+    left = stay.join(skipped, "parent", "left").select("id", F.coalesce("p2", "parent").alias("parent"), add("w", "w2"), add("hop", "hop2"), "label", "acc", add("up", "u2"))
+    return materialise(left, "left"), leaves, gone
+
+
+def _parts(left: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What still hangs on something with what it hangs on, and the roots and rings of one that nothing hangs on any more."""
+    held, loose = left.filter("parent is not null and parent != id"), left.filter("parent is null or parent = id")
+    busy = held.select(F.col("parent").alias("id")).distinct()
+    return held.unionByName(loose.join(busy, "id", "left_semi")), loose.join(busy, "id", "left_anti")
+
+
+def _contracted(nodes: DataFrame, rows: int) -> tuple[DataFrame, list[tuple[DataFrame, DataFrame, DataFrame]]]:
+    """nodes raked and spliced until at most `rows` are left that hang on something or bear something; and of each round what went away: leaves, spliced nodes, and nodes that then were alone."""
+    rest = nodes.select("id", "parent", "w", "hop", "label", F.col("w").alias("acc"), F.lit(0).cast("bigint").alias("up"))
+    gone: list[tuple[DataFrame, DataFrame, DataFrame]] = []
+    while not gone or rest.count() > rows:
+        left, leaves, spliced = _raked(rest, len(gone))
+        rest, alone = _parts(left)
+        gone.append((leaves, spliced, alone))
+    return rest, gone
+
+
+def _raked_sums(nodes: DataFrame, rows: int) -> DataFrame:
+    """subtree_sums by raking and splicing."""
+    rest, gone = _contracted(nodes, rows)
+
+    def solve(table: pa.Table) -> pa.Table:
+        own = Rows.of(table)
+        f, w = Forest(own), own.v["acc"].copy()
+        inside = f.up >= 0
+        np.add.at(w, f.up[inside], own.v["up"][inside])
+        return own.table(["id", "total"], total=(f.sums_up(w), f.on_cycle))
+
+    total = materialise(rest.groupBy(F.lit(0).alias("block")).applyInArrow(solve, "id bigint, total bigint"), "sums")
+    for leaves, spliced, alone in reversed(gone):
+        known = total.unionByName(alone.select("id", F.when(F.col("parent").isNull(), F.col("acc")).alias("total")))
+        child = known.select(F.col("id").alias("only"), F.col("total").alias("t"))
+        back = spliced.join(child, "only").select("id", (F.col("acc") + F.col("t") + F.col("up_only")).alias("total"))
+        total = materialise(known.unionByName(back).unionByName(leaves.select("id", F.col("acc").alias("total"))), "sums")
+    return materialise(nodes.join(total, "id"), "sums")
+
+
+def _raked_paths(nodes: DataFrame, rows: int) -> DataFrame:
+    """path_sums by raking and splicing."""
+    rest, gone = _contracted(nodes, rows)
+
+    def solve(table: pa.Table) -> pa.Table:
+        own = Rows.of(table)
+        f = Forest(own)
+        top, (total, hops) = f.walk_down(own.v["w"], own.v["hop"])
+        t = np.maximum(top, 0)
+        hidden = (top < 0) | f.has_parent[t]
+        return own.table(["id", "root", "pre", "depth"], root=(own.v["label"][t], hidden), pre=(total, hidden), depth=(hops, hidden))
+
+    found = materialise(rest.groupBy(F.lit(0).alias("block")).applyInArrow(solve, "id bigint, root bigint, pre bigint, depth bigint"), "paths")
+    given = lambda c, name: F.when(F.col("parent").isNull(), c).alias(name)
+    zero = F.lit(0).cast("bigint")
+    below = lambda part, above: part.join(above.withColumnRenamed("id", "parent"), "parent").select("id", "root", (F.col("pre") + F.col("w")).alias("pre"), (F.col("depth") + F.col("hop")).alias("depth"))
+    for leaves, spliced, alone in reversed(gone):
+        known = found.unionByName(alone.select("id", given(F.col("label"), "root"), given(zero, "pre"), given(zero, "depth")))
+        known = materialise(known.unionByName(below(spliced, known)), "paths")
+        found = materialise(known.unionByName(below(leaves, known)), "paths")
+    return materialise(nodes.join(found, "id"), "paths")
+
+
 def subtree_sums(nodes: DataFrame, block_rows: int = BLOCK) -> DataFrame:
     """nodes(id, parent, w, hop, label, ...) with `total`, the sum of w over each node's subtree; null for nodes on a cycle."""
-    block, n = _blocks(nodes, block_rows)
+    nodes, n, anew = _numbered(nodes)
     names = [*nodes.columns, "total"]
 
     def solve(table: pa.Table) -> pa.Table:
@@ -171,16 +277,18 @@ def subtree_sums(nodes: DataFrame, block_rows: int = BLOCK) -> DataFrame:
 
     shape = ", ".join(f"{c} bigint" for c in names)
     if n <= block_rows:
-        return materialise(nodes.withColumn("given", F.lit(False)).groupBy(F.lit(0).alias("block")).applyInArrow(solve, shape), "sums")
-    inner, on = _contract(nodes, block, upward=True)
-    below = subtree_sums(inner, _next_rows(inner, n, block_rows)).select("id", "total").join(on, "id")
+        return _renamed(materialise(nodes.withColumn("given", F.lit(False)).groupBy(F.lit(0).alias("block")).applyInArrow(solve, shape), "sums"), anew)
+    inner, on = _contract(nodes, block_rows, upward=True)
+    if inner.count() > n // 2:
+        return _renamed(_raked_sums(nodes, block_rows), anew)
+    below = subtree_sums(inner, block_rows).select("id", "total").join(on, "id")
     known = below.groupBy(F.col("on").alias("id")).agg(F.coalesce(F.sum("total"), F.lit(0)).alias("w"), F.max(F.col("total").isNull().cast("bigint")).alias("hop"))
-    return materialise(_with_given(nodes, known, block).groupBy("block").applyInArrow(solve, shape), "sums")
+    return _renamed(materialise(_with_given(nodes, known, block_rows).groupBy("block").applyInArrow(solve, shape), "sums"), anew)
 
 
 def path_sums(nodes: DataFrame, block_rows: int = BLOCK) -> DataFrame:
     """nodes(id, parent, w, hop, label, ...) with `root` (the label of the root above), and the sums `pre` of w and `depth` of hop on the way from the root, its own left out; null for nodes that no root reaches."""
-    block, n = _blocks(nodes, block_rows)
+    nodes, n, anew = _numbered(nodes)
     names = [*nodes.columns, "root", "pre", "depth"]
 
     def solve(table: pa.Table) -> pa.Table:
@@ -197,20 +305,22 @@ def path_sums(nodes: DataFrame, block_rows: int = BLOCK) -> DataFrame:
 
     shape = ", ".join(f"{c} bigint" for c in names)
     if n <= block_rows:
-        return materialise(nodes.withColumn("given", F.lit(False)).groupBy(F.lit(0).alias("block")).applyInArrow(solve, shape), "paths")
-    inner, _ = _contract(nodes, block, upward=False)
-    above = path_sums(inner, _next_rows(inner, n, block_rows)).filter("parent is not null and root is not null")
+        return _renamed(materialise(nodes.withColumn("given", F.lit(False)).groupBy(F.lit(0).alias("block")).applyInArrow(solve, shape), "paths"), anew)
+    inner, _ = _contract(nodes, block_rows, upward=False)
+    if inner.count() > n // 2:
+        return _renamed(_raked_paths(nodes, block_rows), anew)
+    above = path_sums(inner, block_rows).filter("parent is not null and root is not null")
     known = above.select("id", F.col("pre").alias("w"), F.col("depth").alias("hop"), F.col("root").alias("label"))
-    return materialise(_with_given(nodes, known, block).groupBy("block").applyInArrow(solve, shape), "paths")
+    return _renamed(materialise(_with_given(nodes, known, block_rows).groupBy("block").applyInArrow(solve, shape), "paths"), anew)
 
 
-def sibling_offsets(nodes: DataFrame, block: Callable[[str], F.Column]) -> DataFrame:
+def sibling_offsets(nodes: DataFrame, block_rows: int) -> DataFrame:
     """nodes(id, parent, total, ...) with w: 1 + the totals of the siblings with smaller ids, 0 without parent.
 
     Two levels of prefix sums, within stretches of neighbouring ids and then over the stretches, spread a parent of millions.
     """
     inside = W.partitionBy("parent", "stretch").orderBy("id").rowsBetween(W.unboundedPreceding, -1)
-    kids = nodes.filter("parent is not null").withColumn("stretch", block("id"))
+    kids = nodes.filter("parent is not null").withColumn("stretch", _block("id", block_rows))
     kids = kids.withColumn("before", F.coalesce(F.sum("total").over(inside), F.lit(0)))
     sums = kids.groupBy("parent", "stretch").agg(F.coalesce(F.sum("total"), F.lit(0)).alias("part"))
     earlier = W.partitionBy("parent").orderBy("stretch").rowsBetween(W.unboundedPreceding, -1)
@@ -232,10 +342,9 @@ def hierarchy(links: DataFrame, block_rows: int = BLOCK) -> DataFrame:
     """
     one = F.lit(1).cast("bigint")
     nodes = links.select("id", "parent", one.alias("w"), one.alias("hop"), (F.col("id") * 2 + F.col("missing").cast("bigint")).alias("label"), "extra")
-    nodes = materialise(nodes, "nodes")
+    nodes, _, anew = _numbered(materialise(nodes, "nodes"))
     sized = subtree_sums(nodes, block_rows).drop("w")
-    block, _ = _blocks(nodes, block_rows)
-    done = path_sums(materialise(sibling_offsets(sized, block), "offsets"), block_rows)
+    done = _renamed(path_sums(materialise(sibling_offsets(sized, block_rows), "offsets"), block_rows), anew)
     kind = F.when(F.col("root").isNotNull(), "tree").when(F.col("total").isNull(), "cycle").otherwise("below_cycle")
     return done.select("id", "parent", F.expr("shiftright(root, 1)").alias("root"), F.expr("(root & 1) = 1").alias("open_end"), "depth", "pre", F.col("total").alias("size"), kind.alias("kind"), "extra")
 

@@ -1,6 +1,8 @@
 import random
 
 import pytest
+from pyspark.sql import GroupedData
+from pyspark.sql import functions as F
 
 from tallywick.operators.hierarchy import ancestors, hierarchy, paths
 
@@ -90,3 +92,24 @@ def test_one_deep_chain_and_huge_ids(spark):
 
 def test_empty(spark):
     assert run(spark, {}, {}, 10).count() == 0
+
+
+def test_random_ids_and_one_far_id_never_fill_a_block(spark, monkeypatch):
+    """Parents anywhere: raked and spliced. The largest part that a task gets is bounded, also with one id far from all others."""
+    sizes, apply = [], GroupedData.applyInArrow
+
+    def noted(self, f, schema):
+        parts = self._df.groupBy("block").count() if "block" in self._df.columns else self._df.agg(F.count(F.lit(1)).alias("count"))
+        sizes.append(parts.agg(F.max("count")).first()[0] or 0)
+        return apply(self, f, schema)
+
+    monkeypatch.setattr(GroupedData, "applyInArrow", noted)
+    random.seed(8)
+    ids = random.sample(range(10**6), 220) + [2**60]
+    par = {x: (None if k < 3 else ids[random.randrange(k)] if k % 3 else ids[k - 1]) for k, x in enumerate(ids)}
+    par[ids[5]] = ids[200]  # perhaps a ring
+    missing = dict.fromkeys(par, False)
+    rows = run(spark, par, missing, 60).collect()
+    assert {r.id: (r.root, r.open_end, r.depth, r.pre, r["size"], r.kind) for r in rows} == brute(par, missing)
+    assert 0 < max(sizes) <= 2 * 60  # a block's nodes, and what is known of them
+
