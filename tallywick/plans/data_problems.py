@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.times import day_text, epoch_micros
 from ..operators.heavy_keys import heavy_keys, key_profile
 from ..operators.hierarchy import hierarchy, paths
-from ..operators.late_events import ReplayLedger, first_arrivals, replay_in_batches
+from ..operators.late_events import ReplayLedger, deliveries, replay_in_batches
 from ..operators.orphans import find_orphans, orphans_by_period
 from ..operators.rolling import rolling_totals
 from ..operators.topn import top_n_per_group
@@ -46,8 +46,9 @@ _ARRIVALS = """
   FROM casts WHERE id IS NOT NULL AND timestamp IS NOT NULL GROUP BY id HAVING min(created_at) IS NOT NULL"""
 
 
-def _ledger(spark: SparkSession, folder: str) -> ReplayLedger:
-    return replay_in_batches(first_arrivals(table(spark, folder, "casts"), None, "id", "timestamp", "created_at"))
+def _ledger(spark: SparkSession, folder: str, key: str | None = None, value: F.Column | None = None) -> ReplayLedger:
+    """The casts' deliveries, repeated ones too, as they came in."""
+    return replay_in_batches(deliveries(table(spark, folder, "casts"), key, "id", "timestamp", "created_at", value))
 
 
 @query("p2_found", f"SELECT strftime(day, '%Y-%m-%d') AS event_day, id FROM ({_ARRIVALS}) WHERE arrived > closes")
@@ -64,6 +65,22 @@ def p2_casts_per_day(spark: SparkSession, folder: str) -> DataFrame:
     return _ledger(spark, folder).outputs().select(day_text("period").alias("event_day"), F.col("n").alias("casts"), F.col("so_far").alias("casts_so_far"))
 
 
+@query(
+    "p2_casts_per_fid_day",
+    """WITH one AS (SELECT id, min(fid) AS fid, min(CAST(timestamp AS DATE)) AS day, min(created_at) AS arrived, max(length(text)) AS size FROM casts WHERE id IS NOT NULL AND timestamp IS NOT NULL GROUP BY id HAVING min(created_at) IS NOT NULL),
+       d AS (SELECT fid, day, count(*) AS n, sum(size) AS total, min(size) AS least, max(size) AS greatest FROM one WHERE arrived <= day + INTERVAL 4 DAY GROUP BY ALL)
+       SELECT fid, strftime(day, '%Y-%m-%d') AS event_day, n AS casts, CAST(total AS DOUBLE) AS letters, CAST(least AS DOUBLE) AS least, CAST(greatest AS DOUBLE) AS greatest, round(total / n, 6) AS mean,
+         CAST(sum(n) OVER w AS BIGINT) AS casts_so_far, CAST(sum(total) OVER w AS DOUBLE) AS letters_so_far, CAST(max(greatest) OVER w AS DOUBLE) AS greatest_so_far FROM d WINDOW w AS (PARTITION BY fid ORDER BY day)""",
+)
+def p2_casts_per_fid_day(spark: SparkSession, folder: str) -> DataFrame:
+    """Per author and day: number of casts and the lengths of their texts, and both up to then."""
+    out = _ledger(spark, folder, "fid", F.length("text")).outputs()
+    return out.select(
+        F.when(F.col("key") != "", F.col("key").cast("bigint")).alias("fid"), day_text("period").alias("event_day"), F.col("n").alias("casts"), F.col("total").alias("letters"), "least", "greatest",
+        F.round(F.col("total") / F.col("n"), 6).alias("mean"), F.col("n_so_far").alias("casts_so_far"), F.col("total_so_far").alias("letters_so_far"), F.col("greatest_so_far"),
+    )
+
+
 # ---- 3: references to records that do not exist
 
 

@@ -9,18 +9,18 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.late_events import ReplayLedger, first_arrivals
+from ..operators.late_events import ReplayLedger, deliveries
 
 
 def ledger_stream(stream: DataFrame, ledger: ReplayLedger, key: str | None, event_id: str, event_ts: str, arrival_ts: str, checkpoint: str) -> StreamingQuery:
     """Feed a ReplayLedger from a stream: counts per period, corrected as late events arrive.
 
-    An event that comes again in a later batch must be dropped before, by dropDuplicatesWithinWatermark or the source. A
-    batch that is run again replaces its own tables, so results are exactly-once.
+    An event that comes again, in whatever batch, changes nothing: the ledger knows its id. A batch that is run again
+    replaces its own tables, so results are exactly-once.
     """
 
     def step(batch: DataFrame, number: int) -> None:
-        ledger.apply(first_arrivals(batch, key, event_id, event_ts, arrival_ts), number)
+        ledger.apply(deliveries(batch, key, event_id, event_ts, arrival_ts), number)
 
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
