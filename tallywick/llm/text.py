@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import re as plain
 import unicodedata
 
 import regex as re
@@ -20,6 +21,8 @@ BLOCK_TAGS = frozenset("address article aside blockquote br dd div dl dt fieldse
 _ESCAPE = re.compile(r"\\(?:u([0-9a-fA-F]{4})|x([0-9a-fA-F]{2})|([nrtbf\"/\\]))")
 _PERCENT = re.compile(r"(?:%[0-9a-fA-F]{2})+")
 _QUOTED = re.compile(r"(?:=[0-9A-F]{2})+|=\r?\n")
+#: Escapes of an escape's own sign, one inside the other: as many rounds as levels, if they weren't undone at once.
+_NESTED = ((re.compile(r"%(?:25)+(?=[0-9a-fA-F]{2})"), "%"), (re.compile(r"=(?:3D)+(?=[0-9A-F]{2})"), "="), (re.compile(r"&(?:amp;|#0*38;|#[xX]0*26;)+"), "&"))
 _BROKEN = re.compile(r"(?<=\p{L})[-\u2010\u2011]\r?\n[\s>|*#]*(?=\p{L})")
 _HIDDEN = re.compile(r"[\p{Cf}\p{Cc}\uFE00-\uFE0F--[\n\t\r]]", re.V1)
 _MARKS = re.compile(r"\p{Mn}+")
@@ -54,11 +57,18 @@ def _unquote(m: re.Match) -> str:
         return m.group()
 
 
-def decoded(text: str) -> str:
-    """Mojibake, character references, string escapes, percent and quoted-printable bytes, tags and words broken at a line's end, undone."""
-    for _ in range(2):
+def decoded(text: str, few: bool = True) -> str:
+    """Mojibake, character references, string escapes, percent and quoted-printable bytes, tags and words broken at a line's end, undone, until nothing is left to undo: each step makes the text shorter.
+
+    few: percent and quoted-printable bytes are undone wherever they are valid. Otherwise only in texts with more than two
+    of a kind, as in `20=20` or `5%20` the writer may have meant what stands there.
+    """
+    while True:
         before = text
-        if _MOJIBAKE.search(text):
+        for nested, sign in _NESTED:
+            if sign in text:
+                text = nested.sub(sign, text)
+        if not text.isascii() and _MOJIBAKE.search(text):
             text = _MOJIBAKE.sub(_unmojibake, text)
         if "&" in text:
             text = html.unescape(text)
@@ -66,27 +76,71 @@ def decoded(text: str) -> str:
             text = _ESCAPE.sub(_unescape, text)
             if re.search("[\ud800-\udfff]", text):
                 text = text.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
-        if "%" in text and len(_PERCENT.findall(text)) > 2:
+        if "%" in text and (few or len(_PERCENT.findall(text)) > 2):
             text = _PERCENT.sub(_unpercent, text)
-        if "=" in text and (len(re.findall("=[0-9A-F]{2}", text)) > 2 or "=\n" in text):
+        if "=" in text and (few or len(re.findall("=[0-9A-F]{2}", text)) > 2 or "=\n" in text):
             text = _QUOTED.sub(_unquote, text)
-        if text == before:
+        if len(text) >= len(before):
             break
     if "<" in text:
         text = _TAG.sub(lambda m: " " if m.group(1) and m.group(1).lower() in BLOCK_TAGS else "", text)
     return _BROKEN.sub("", _HIDDEN.sub("", text))
 
 
+#: Stretches between white space, of which most come again and again, are folded once.
+_BLANKS = plain.compile(r"(\s+)")
+_folds: dict[str, str] = {}
+_streams: dict[str, tuple[str, str]] = {}
+KEPT = 300_000
+
+
+def _folded(part: str) -> str:
+    found = _folds.get(part)
+    if found is None:
+        if part.isascii():
+            found = part.lower()
+        else:
+            found = unicodedata.normalize("NFKD", part).casefold()
+            found = unicodedata.normalize("NFKC", _MARKS.sub("", found).translate(_FOLD))
+        if len(part) <= 40:
+            if len(_folds) >= KEPT:
+                _folds.clear()
+            _folds[part] = found
+    return found
+
+
 def folded(text: str) -> str:
     """decoded text without case, accents, font variants and look-alikes of Latin letters."""
-    text = unicodedata.normalize("NFKD", decoded(text)).casefold()
-    return unicodedata.normalize("NFKC", _MARKS.sub("", text).translate(_FOLD))
+    return "".join(map(_folded, _BLANKS.split(decoded(text))))
 
 
 _WORD = re.compile(r"[\p{L}\p{N}]+")
 
 
+def _streamed(part: str) -> tuple[str, str]:
+    found = _streams.get(part)
+    if found is None:
+        words = _WORD.findall(_folded(part))
+        found = "".join(words), "".join("1" + "0" * (len(w) - 1) for w in words)
+        if len(part) <= 40:
+            if len(_streams) >= KEPT:
+                _streams.clear()
+            _streams[part] = found
+    return found
+
+
+def _flow(clean: str) -> tuple[str, str]:
+    parts = [_streamed(p) for p in clean.split()]
+    return "".join(p[0] for p in parts), "".join(p[1] for p in parts)
+
+
 def stream(text: str) -> tuple[str, str]:
     """The letters and digits of the folded text in a row, and for each `1` if something stands between it and the one before, else `0`."""
-    words = _WORD.findall(folded(text))
-    return "".join(words), "".join("1" + "0" * (len(w) - 1) for w in words)
+    return _flow(decoded(text))
+
+
+def streams(text: str) -> list[tuple[str, str]]:
+    """stream, and where the text has but one or two percent or quoted-printable bytes, also the stream with these left as they stand."""
+    bold = decoded(text)
+    careful = decoded(text, few=False) if "%" in text or "=" in text else bold
+    return [_flow(bold)] if careful == bold else [_flow(bold), _flow(careful)]
