@@ -70,7 +70,7 @@ def eigentrust(edges: DataFrame, seeds: DataFrame | None, alpha: float = 0.5, ep
     edges (keys..., i, j, v): self edges, null ends and v <= 0 are left out, repeated pairs added up. seeds (keys..., i, v):
     those not in the graph are left out, the rest is scaled to 1; none left: every node is a seed. No edges: no rows.
     `keys` names columns that tell separate graphs apart: all are solved in the same jobs, so a thousand small ones cost no
-    more than one. Iterates until the summed change is below epsilon (of all graphs; 0: exactly max_iterations steps).
+    more than one. Iterates until the summed change of each graph is below epsilon (0: exactly max_iterations steps).
 
     Each step joins edges with scores on the source, sums on the map side per target first, and writes its result in the
     shared folder; nothing but two sums comes to the driver.
@@ -88,22 +88,30 @@ def eigentrust(edges: DataFrame, seeds: DataFrame | None, alpha: float = 0.5, ep
         step = materialise(both.select(*k, "n", "p", "dangling", new.alias("t"), F.abs(new - F.col("t")).alias("moved")), "trust")
         state = step
         if epsilon > 0:
-            moved = step.agg(F.sum("moved")).first()[0]
+            moved = step.groupBy(*k).agg(F.sum("moved").alias("moved")).agg(F.max("moved")).first()[0]
             if moved is None or moved < epsilon:
                 break
     return state.select(*k, F.col("n").alias("i"), F.col("t").alias("v"))
 
 
 def ranked(scores: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
-    """scores with rank 1, 2, ... by v from high to low, equal ones by smaller i. One graph is ranked by range partitions, not in one task."""
+    """scores with rank 1, 2, ... by v from high to low, equal ones by smaller i, within each combination of keys (a null is one of its own).
+
+    Rows are cut into ranges of (keys, v, i), ranked within their range, and moved on by the sizes of the key's ranges
+    before: a key of any size is spread over as many tasks as it needs.
+    """
     order = [F.desc("v"), F.asc("i")]
-    if keys:
-        return scores.withColumn("rank", F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("bigint"))
-    parts = materialise(scores.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "ranges")
-    sizes = parts.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
-    before = sizes.select("part", F.coalesce(F.sum("size").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    inside = F.row_number().over(W.partitionBy("part").orderBy(*order))
-    return parts.join(F.broadcast(before), "part").withColumn("rank", (inside + F.col("before")).cast("bigint")).drop("part", "before")
+    parts = materialise(scores.repartitionByRange(*[F.asc(k) for k in keys], *order).withColumn("part", F.spark_partition_id()), "ranges")
+    sizes = parts.groupBy(*keys, "part").agg(F.count(F.lit(1)).alias("size"))
+    earlier = W.partitionBy(*keys).orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    # Only a key's second and later ranges have any before them: as many rows as there are ranges, at most.
+    before = sizes.withColumn("before", F.sum("size").over(earlier)).filter("before > 0").select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("part").alias("__part"), "before")
+    same = F.col("part") == F.col("__part")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    inside = F.row_number().over(W.partitionBy(*keys, "part").orderBy(*order))
+    placed = parts.withColumn("inside", inside).join(F.broadcast(before), same, "left")
+    return placed.withColumn("rank", (F.col("inside") + F.coalesce("before", F.lit(0))).cast("bigint")).select(*scores.columns, "rank")
 
 
 def rings(edges: DataFrame, seeds: DataFrame, degrees: int) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..storage import lookup
+from ..storage import is_small, materialise
 
 
 def score_bucket(score: str, per_octave: int = 8) -> F.Column:
@@ -54,9 +54,15 @@ def top_n_per_group(df: DataFrame, groups: list[str], item: str, score: str, n:
     slots = 64
     while slots < 4 * n:
         slots *= 2
-    bars = lookup(safe_thresholds(score_histogram(rows, keys, slots), keys, n), "thresholds")
-    kept = rows.join(bars, keys, "left").filter(F.col("threshold").isNull() | (F.col("bucket") >= F.col("threshold")))
-    kept = kept.withColumn("part", F.pmod(F.xxhash64("item"), F.lit(salts))).repartition(*keys, "part")
+    bars = materialise(safe_thresholds(score_histogram(rows, keys, slots), keys, n), "thresholds")
+    salted = rows.withColumn("part", F.pmod(F.xxhash64("item"), F.lit(salts)).cast("int"))
+    above = F.col("threshold").isNull() | (F.col("bucket") >= F.col("threshold"))
+    if is_small(bars):
+        kept = salted.join(F.broadcast(bars), keys, "left").filter(above).repartition(*keys, "part")
+    else:
+        # Thresholds of very many groups come to the rows by the shuffle that the ranking needs anyway, a copy per part.
+        copies = bars.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).repartition(*keys, "part")
+        kept = salted.repartition(*keys, "part").join(copies, [*keys, "part"], "left").filter(above)
     best = kept.groupBy(*keys, "part", "item").agg(F.max("score").alias("score"))
     order = [F.desc("score"), F.asc("item")]
     winners = best.withColumn("position", F.row_number().over(W.partitionBy(*keys, "part").orderBy(*order))).filter(F.col("position") <= n)

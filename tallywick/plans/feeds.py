@@ -9,7 +9,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.semantics import SCORE_AGGREGATES, action_weight, decay, parse_weights, seconds_between, top_share
+from ..operators.graph import ranked
+from ..operators.topn import top_n_per_group
 from ..sources.tables import table
+from ..storage import materialise
 from .registry import query
 from .social import SQL, actions, channel_rank, global_rank, live_casts, live_channels, now
 
@@ -152,8 +155,7 @@ def f9_holders(spark: SparkSession, folder: str) -> DataFrame:
     holders = table(spark, folder, "orders").groupBy((1_000_000 + F.col("o_custkey") % 2000).alias("fid")).agg(F.sum("o_totalprice").alias("score"))
     s = scored_posts(actions(spark, folder), holders, Feed("L1C10R5Y1", "sum", days=10)).select("cast_id", F.round("cast_score", 2).alias("score"))
     posts = live_casts(spark, folder).filter("top").select(F.col("id").alias("cast_id"), F.col("fid").alias("author"), F.floor(seconds_between(now(), F.col("ts")) / 86_400).cast("bigint").alias("bucket"))
-    best = F.row_number().over(W.partitionBy("bucket", "author").orderBy(F.desc("score"), "cast_id"))
-    return top_share(s, "score", 0.5).join(posts, "cast_id").withColumn("r", best).filter("r <= 3").select("cast_id", "author", "bucket", "score")
+    return top_n_per_group(top_share(s, "score", 0.5).join(posts, "cast_id"), ["bucket", "author"], "cast_id", "score", 3).select("cast_id", "author", "bucket", "score")
 
 
 @query("F10_new_user_casts", SQL + """, fresh AS (SELECT fid FROM live GROUP BY fid HAVING min(ts) >= (SELECT at_now - INTERVAL 30 DAY FROM moment) UNION SELECT target_fid FROM reactions GROUP BY target_fid HAVING min(ts) >= (SELECT at_now - INTERVAL 20 DAY FROM moment))
@@ -176,8 +178,7 @@ def f10_new_users(spark: SparkSession, folder: str) -> DataFrame:
 def f11_page_per_day(spark: SparkSession, folder: str) -> DataFrame:
     s = scored_posts(actions(spark, folder), _raters(spark, folder), Feed("L1C10R5Y1", "sum", days=10)).select("cast_id", F.round("cast_score", 10).alias("score"))
     posts = live_casts(spark, folder).select(F.col("id").alias("cast_id"), F.col("ts").cast("date").cast("string").alias("day"))
-    r = F.row_number().over(W.partitionBy("day").orderBy(F.desc("score"), "cast_id"))
-    return s.join(posts, "cast_id").withColumn("r", r).filter("r > 5 and r <= 15").select("cast_id", "score", "day")
+    return top_n_per_group(s.join(posts, "cast_id"), ["day"], "cast_id", "score", 15).filter("position > 5").select("cast_id", "score", "day")
 
 
 @query("F12_token_casts", SQL + f""", t AS (SELECT id FROM live WHERE text ILIKE '%$ORBIT9%' OR text ILIKE '%$QUILL%') SELECT a.cast_id, {_ROUND.format('sum((casted * 10 + replied + recasted * 5 + liked) * coalesce(g.score, 1e-5))')} AS score
@@ -245,7 +246,8 @@ def f18_leaderboard(spark: SparkSession, folder: str) -> DataFrame:
     posts = live_casts(spark, folder).select(F.col("id").alias("cast_id"), F.col("fid").alias("author"))
     s = scored_posts(actions(spark, folder), _raters(spark, folder), Feed("L1C10R5Y1", "sum", days=10)).join(posts, "cast_id")
     w = s.groupBy(F.col("author").alias("fid")).agg(F.round(F.cbrt(F.sum("cast_score")), 6).alias("w"))
-    above = w.groupBy("w").agg(F.count(F.lit(1)).alias("n")).withColumn("place", (F.coalesce(F.sum("n").over(W.orderBy(F.desc("w")).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)) + 1).cast("bigint")).drop("n")
+    w = materialise(w, "authors")
+    above = ranked(w.select(F.col("w").alias("v"), F.col("fid").alias("i"))).groupBy(F.col("v").alias("w")).agg(F.min("rank").alias("place"))
     total = w.agg(F.sum("w").alias("total"))
     return w.crossJoin(F.broadcast(total)).join(above, "w").select("fid", "w", F.round(F.col("w") / F.col("total"), 8).alias("share"), "place")
 

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from ..functions.semantics import hex_text, ntile_of, pct_rank_average, split_exactly, week_end_9am
 from ..functions.urls import rebuilt, url_parts
 from ..operators.state import additive_upsert, changes_to_counts, fold_log, insert_ignore, keep_missing, overwrite_upsert, safe_cursor, within_drift
+from ..operators.topn import top_n_per_group
 from ..sources.tables import table
+from ..storage import materialise
 from .registry import query
 from .social import SQL, actions, channel_rank, current_casts, global_rank, live_casts, live_channels, now, reactions, replies
 
@@ -290,8 +292,9 @@ def c14_batches(spark: SparkSession, folder: str) -> DataFrame:
 @query("C15_leaders_in_chunks", SQL + ", s AS (SELECT channel_id, fid, row_number() OVER (PARTITION BY channel_id ORDER BY n DESC, fid) AS place, n, started FROM (SELECT channel_id, fid, count(*) AS n, bool_or(top) AS started FROM live WHERE channel_id IS NOT NULL GROUP BY ALL)) SELECT channel_id, fid, n, started, CAST((place - 1) // 10 AS BIGINT) AS chunk FROM s WHERE place <= 50")
 def c15_chunks(spark: SparkSession, folder: str) -> DataFrame:
     s = live_casts(spark, folder).filter("channel_id is not null").groupBy("channel_id", "fid").agg(F.count(F.lit(1)).alias("n"), F.bool_or("top").alias("started"))
-    p = s.withColumn("place", F.row_number().over(W.partitionBy("channel_id").orderBy(F.desc("n"), "fid"))).filter("place <= 50")
-    return p.select("channel_id", "fid", "n", "started", F.expr("cast((place - 1) div 10 as bigint)").alias("chunk"))
+    s = materialise(s, "authors")
+    p = top_n_per_group(s, ["channel_id"], "fid", "n", 50).drop("n")
+    return p.join(s, ["channel_id", "fid"]).select("channel_id", "fid", "n", "started", F.expr("cast((position - 1) div 10 as bigint)").alias("chunk"))
 
 
 @query("C19_payout_report", "SELECT o_custkey AS fid, count(*) AS payouts, round(sum(o_totalprice), 2) AS total, quantile_disc(o_totalprice, 0.5) AS median, count(*) FILTER (o_orderstatus = 'F') AS done FROM orders GROUP BY 1")
@@ -355,7 +358,9 @@ def n6_variants(spark: SparkSession, folder: str) -> DataFrame:
     g = global_rank(spark, folder).filter("strategy_id = 9").select(F.col("profile_id").alias("fid"), "score")
     a = actions(spark, folder).filter("liked + recasted > 0").join(g, "fid").withColumn("v", F.explode(variants))
     s = a.groupBy("v.name", "cast_id").agg(F.round(F.sum(F.expr("(v.l * liked + v.c * recasted) * score")), 10).alias("score"), F.countDistinct("fid").alias("tippers"), F.sum(F.expr("(v.l * liked + v.c * recasted) * score")).alias("raw")).filter("raw > 0").drop("raw")
-    return s.withColumn("place", F.row_number().over(W.partitionBy("name").orderBy(F.desc("score"), "cast_id")).cast("bigint")).filter("place <= 1000")
+    s = materialise(s, "scores")
+    best = top_n_per_group(s, ["name"], "cast_id", "score", 1000).select("name", "cast_id", F.col("position").cast("bigint").alias("place"))
+    return s.join(best, ["name", "cast_id"])
 
 
 @query("N9_json_paths", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CAST(json_extract_string(props, '$.k') AS BIGINT) % 10 AS channel FROM events")

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.graph import local_trust, merge_interactions
+from ..operators.topn import top_n_per_group
 from ..sources.tables import table
 from .feeds import Feed, _channel_feed, _window_sql
 from .registry import query
@@ -47,7 +47,7 @@ def f14_for_you(spark: SparkSession, folder: str) -> DataFrame:
     from .social import channel_rank
 
     s = _channel_feed(spark, folder, Feed("L1C10R5Y1", "sum", days=14, by=("cast_id", "channel_id"))).withColumn("score", F.round("cast_score", 10))
-    best = s.withColumn("place", F.row_number().over(W.partitionBy("channel_id").orderBy(F.desc("score"), "cast_id"))).filter("place <= 5")
+    best = top_n_per_group(s, ["channel_id"], "cast_id", "score", 5)
     members = channel_rank(spark, folder).filter("strategy_name = 'channel_engagement' and rank <= 3").select("channel_id", "fid")
     return best.join(members, "channel_id").select("fid", "channel_id", "cast_id", "score")
 

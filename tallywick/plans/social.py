@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.graph import ranked
 from ..sources.tables import table
 from ..storage import materialise
 
@@ -97,25 +98,20 @@ def actions(spark: SparkSession, folder: str) -> DataFrame:
 
 def global_rank(spark: SparkSession, folder: str) -> DataFrame:
     """The latest date of each strategy: strategy_id, strategy_name (of its latest settings), date, profile_id, score (double), rank."""
-    from pyspark.sql import Window as W
-
     rows = table(spark, folder, "k3l_rank").select("strategy_id", "date", "profile_id", F.col("score").cast("double").alias("score")).dropna().filter("not isnan(score)")
     scores = rows.groupBy("strategy_id", "date", "profile_id").agg(F.max("score").alias("score"))
     latest = scores.groupBy("strategy_id").agg(F.max("date").alias("date"))
     names = table(spark, folder, "globaltrust_config").groupBy("strategy_id").agg(F.max_by("strategy_name", F.struct("date", "strategy_name")).alias("strategy_name"))
-    now = scores.join(F.broadcast(latest), ["strategy_id", "date"]).join(F.broadcast(names), "strategy_id", "left")
-    place = F.row_number().over(W.partitionBy("strategy_id").orderBy(F.desc("score"), F.asc("profile_id")))
-    return now.select("strategy_id", "strategy_name", "date", "profile_id", "score", place.cast("bigint").alias("rank"))
+    now = scores.join(latest, ["strategy_id", "date"]).join(names, "strategy_id", "left")
+    placed = ranked(now.withColumnsRenamed({"score": "v", "profile_id": "i"}), ("strategy_id",))
+    return placed.select("strategy_id", "strategy_name", "date", F.col("i").alias("profile_id"), F.col("v").alias("score"), "rank")
 
 
 def channel_rank(spark: SparkSession, folder: str) -> DataFrame:
     """channel_id, strategy_name, fid, score (double), rank, of the latest computation of each."""
-    from pyspark.sql import Window as W
-
     rows = table(spark, folder, "k3l_channel_rank").select("channel_id", "strategy_name", "fid", "compute_ts", "pseudo_id", F.col("score").cast("double").alias("score"))
     last = rows.groupBy("channel_id", "strategy_name", "fid").agg(F.max_by("score", F.struct("compute_ts", "pseudo_id")).alias("score"))
-    place = F.row_number().over(W.partitionBy("channel_id", "strategy_name").orderBy(F.desc("score"), F.asc("fid")))
-    return last.withColumn("rank", place.cast("bigint"))
+    return ranked(last.withColumnsRenamed({"score": "v", "fid": "i"}), ("channel_id", "strategy_name")).withColumnsRenamed({"v": "score", "i": "fid"})
 
 
 #: The same relations for DuckDB: an independent spelling, put before each query's own SQL.

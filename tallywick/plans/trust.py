@@ -58,6 +58,22 @@ def g4_engagement(spark: SparkSession, folder: str) -> DataFrame:
     return local_trust(_pairs(spark, folder), 3)
 
 
+_FORM_C = "likes + 3 * replies + 6 * recasts + 12 * mentions + coalesce(follows, 0) * (1 + replies + recasts + mentions)"
+_PAIRS_90 = _PAIRS.replace("FROM tagged WHERE", "FROM tagged, moment WHERE (k = 'f' OR ts >= at_now - INTERVAL 90 DAY AND ts <= at_now) AND")
+
+
+@query("G4_local_trust_boosted", SQL + _PAIRS + f" SELECT i, j, CAST({_FORM_C} AS INTEGER) AS v FROM pairs WHERE {_FORM_C} > 0")
+def g4_boosted(spark: SparkSession, folder: str) -> DataFrame:
+    """Strategy 9: replies, recasts and mentions of those who follow count more."""
+    return local_trust(_pairs(spark, folder), 9)
+
+
+@query("G4_local_trust_boosted_90_days", SQL + _PAIRS_90 + f" SELECT i, j, CAST({_FORM_C} AS INTEGER) AS v FROM pairs WHERE {_FORM_C} > 0")
+def g4_boosted_90(spark: SparkSession, folder: str) -> DataFrame:
+    """Strategy 11: the same over the last 90 days."""
+    return local_trust(g1_window(spark, folder), 11)
+
+
 @query("G5_local_trust_statistics", SQL + _EDGES3 + " SELECT count(*) AS edges, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS deviation, max(v) - min(v) AS spread FROM edges")
 def g5_statistics(spark: SparkSession, folder: str) -> DataFrame:
     return local_trust(_pairs(spark, folder), 3).agg(F.count(F.lit(1)).alias("edges"), F.round(F.avg("v"), 6).alias("mean"), F.round(F.stddev_samp("v"), 6).alias("deviation"), (F.max("v") - F.min("v")).alias("spread"))

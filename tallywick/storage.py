@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows up to which a lookup table may be broadcast; a row of the tables it is used for takes at most some 100 bytes.
-BROADCAST_ROWS = 500_000
+#: Rows, and bytes as stored, up to which a lookup table may be broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 32 << 20
 
 _written: set[str] = set()
 
@@ -47,15 +49,35 @@ def materialise(df: DataFrame, label: str, partition_by: list[str] | None = None
     return spark.read.schema(df.schema).parquet(path)
 
 
-def lookup(df: DataFrame, label: str, most: int = BROADCAST_ROWS) -> DataFrame:
-    """df as the small side of a join: written, counted, and broadcast only if it has at most `most` rows; else joined by shuffle, where AQE splits hot keys."""
+def is_small(table: DataFrame) -> bool:
+    """Whether a stored table may be broadcast: few rows, and few bytes in its files."""
+    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size <= BROADCAST_BYTES and table.count() <= BROADCAST_ROWS
+
+
+def lookup(df: DataFrame, label: str) -> DataFrame:
+    """df as the small side of a join: written, measured, and broadcast only if it is small; else joined by shuffle, where AQE splits hot keys."""
     table = materialise(df, label)
-    return F.broadcast(table) if table.count() <= most else table
+    return F.broadcast(table) if is_small(table) else table
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What queries write in the shared folder inside the block is deleted at its end, in whatever file system it lies: write a query's result inside, and a session of many queries doesn't fill the disk."""
+    shared_dir(spark)
+    before = set(_written)
+    try:
+        yield
+    finally:
+        for path in _written - before:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+            _written.discard(path)
 
 
 @atexit.register
 def release() -> None:
-    """Delete what this program wrote, where the shared folder is a mounted one; other stores keep it for their own expiry rule."""
+    """Delete what this program wrote and didn't delete before, where the shared folder is a mounted one; for other stores, see scratch."""
     while _written:
         path = _written.pop()
         if path.startswith("file:") or path.startswith("/"):
