@@ -134,7 +134,7 @@ def heavy_keys(df: DataFrame, key: str, share: float = 0.01) -> DataFrame:
     1 / share, are refined from histograms of the hashes, and how many rows have them is what the last bin counts. Hashes
     that hold enough rows are then told apart by the keys themselves, exactly. Equal hashes can't hide a key.
     """
-    rows = materialise(df.select(F.col(key).alias("key"), F.xxhash64(key).alias("o")), "hashes")
+    rows = materialise(df.select(F.lit(0).alias("g"), F.col(key).alias("key"), F.xxhash64(key).alias("o")), "hashes")
     total, lo, hi = rows.agg(F.count(F.lit(1)), F.min("o"), F.max("o")).first()
     whole = round(share * 1_000_000)
     least = max(1, -(-total * whole // 1_000_000))
@@ -143,7 +143,7 @@ def heavy_keys(df: DataFrame, key: str, share: float = 0.01) -> DataFrame:
     if not total:
         return spark.createDataFrame([], f"key {kind}, n_rows bigint, total_rows bigint")
     wanted = spark.range(1, total // least + 1).select(F.lit(0).alias("g"), (F.col("id") * least).alias("rank"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi"))
-    found = select_ranks(rows.select(F.lit(0).alias("g"), "o", F.col("o").alias("v")), wanted)
+    found = select_ranks(rows.select("g", "o", F.col("o").alias("v")), wanted)
     heavy = found.filter(F.col("n") >= least).select("o").distinct()  # at most 1 / share rows
     exact = rows.join(F.broadcast(heavy), "o").groupBy("key").agg(F.count(F.lit(1)).alias("n_rows"))
     return exact.filter(F.col("n_rows") >= least).select("key", "n_rows", F.lit(total).cast("bigint").alias("total_rows"))

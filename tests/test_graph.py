@@ -1,3 +1,4 @@
+import random
 from pathlib import Path
 
 import duckdb
@@ -72,6 +73,18 @@ def test_ranks_are_a_permutation_with_ties_by_id(spark):
     assert order == sorted(range(200), key=lambda i: (-(i % 7), i))
 
 
+def test_ranks_within_keys_of_any_size(spark):
+    """One key holds most rows and spans many ranges; a null key is one of its own."""
+    random.seed(12)
+    rows = [(random.choice(["hot"] * 8 + ["a", "b", None]), i, float(random.randrange(50))) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, i bigint, v double").repartition(5)
+    want = {}
+    for k in {r[0] for r in rows}:
+        for n, (_, i, _) in enumerate(sorted((r for r in rows if r[0] == k), key=lambda r: (-r[2], r[1]))):
+            want[i] = n + 1
+    assert {r.i: r["rank"] for r in ranked(df, ("k",)).collect()} == want
+
+
 def test_no_edges(spark):
     assert eigentrust(spark.createDataFrame([], EDGES), None).count() == 0
 

@@ -40,6 +40,15 @@ def test_masses_of_equal_scores_and_repeats(spark):
     assert run(spark, rows, 5) == {("g", "t", i, i + 1) for i in range(5)}
 
 
+def test_thresholds_of_very_many_groups_come_by_shuffle(spark, monkeypatch):
+    from tallywick import storage
+
+    monkeypatch.setattr(storage, "BROADCAST_ROWS", 0)
+    random.seed(9)
+    rows = [(f"g{random.randrange(40)}", random.choice("xy"), random.randrange(30), random.gauss(0, 5), 1, 1) for _ in range(3000)]
+    assert run(spark, rows, 2) == brute(rows, 2)
+
+
 def test_empty_and_bad_n(spark):
     assert run(spark, [], 3) == set()
     with pytest.raises(ValueError):
