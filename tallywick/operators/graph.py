@@ -155,68 +155,130 @@ def personalised(edges: DataFrame, seeds: DataFrame, degrees: int = 2, alpha: fl
 
 
 class Graph:
-    """A whole graph as arrays: ids in order, and the out-edges of node k at starts[k] to starts[k + 1] in targets and weights."""
+    """A whole graph as arrays: ids in order; the out-edges of node k, by target, at starts[k] to starts[k + 1] in targets and weights; its in-edges, by source, at in_starts[k] to in_starts[k + 1] in sources, and their places among the out-edges in places. Of those out-edges, the ones to nodes before bounds[b] end at upto[b][k]."""
 
     def __init__(self, i: np.ndarray, j: np.ndarray, v: np.ndarray):
         self.ids = np.unique(np.concatenate([i, j]))
+        n = len(self.ids)
         a, b = np.searchsorted(self.ids, i), np.searchsorted(self.ids, j)
         order = np.lexsort((b, a))
-        self.targets, self.weights = b[order].astype(np.int32), v[order].astype(np.float64)
-        self.starts = np.concatenate([[0], np.cumsum(np.bincount(a, minlength=len(self.ids)))])
-
-    def out_edges(self, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The places of the nodes' out-edges, and for each the place of its source in nodes."""
-        counts = self.starts[nodes + 1] - self.starts[nodes]
-        ends = np.cumsum(counts)
-        return np.arange(ends[-1]) + np.repeat(self.starts[nodes] - ends + counts, counts), np.repeat(np.arange(len(nodes)), counts)
-
-    def own_scores(self, nodes: np.ndarray, at: np.ndarray, alpha: float, epsilon: float) -> np.ndarray:
-        """Trust scores of nodes over the edges between them, seeded with the first alone, until the summed change is below epsilon. at: place of each node in nodes, else -1."""
-        edges, source = self.out_edges(nodes)
-        target = at[self.targets[edges]]
-        inside = target >= 0
-        source, target, v = source[inside], target[inside], self.weights[edges[inside]]
-        sums = np.bincount(source, v, len(nodes))
-        c, sink = v / sums[source], sums == 0
-        t = np.zeros(len(nodes))
-        t[0] = 1.0
-        while True:
-            new = (1 - alpha) * np.bincount(target, c * t[source], len(nodes))
-            new[0] += (1 - alpha) * t[sink].sum() + alpha
-            moved, t = np.abs(new - t).sum(), new
-            if moved < epsilon:
-                return t
-
-    def personal(self, k: int, at: np.ndarray, degrees: int, most: int, alpha: float, epsilon: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(degree, ids, scores) of node k. at: -1 everywhere, before and after."""
-        nodes = front = np.array([k])
-        at[k], done = 0, 0
-        for degree in range(1, degrees + 1):
-            reached = self.targets[self.out_edges(front)[0]]
-            front = np.unique(reached[at[reached] < 0])[:most]
+        a, b = a[order].astype(np.int32), b[order].astype(np.int32)
+        self.targets, self.weights = b, v[order].astype(np.float64)
+        del order
+        starts = lambda x: np.concatenate([[0], np.cumsum(np.bincount(x, minlength=n))])
+        self.starts, self.in_starts = starts(a), starts(b)
+        places = np.argsort(b, kind="stable")
+        self.places = places.astype(np.int32 if len(b) < 1 << 31 else np.int64)
+        self.sources = a[places]
+        self.bounds = [x for k in range(30) if (x := 1024 << 2 * k) < n] + [n]
+        self.upto = [self.starts[:-1] + np.bincount(a[b < x], minlength=n) for x in self.bounds[:-1]] + [self.starts[1:]]
+
+    def around(self, k: int, at: np.ndarray, degrees: int, most: int) -> tuple[np.ndarray, list[int], np.ndarray, np.ndarray, np.ndarray]:
+        """The neighbourhood of node k: its nodes, k first and nearer ones before further ones, each ring in order; how many there are up to each degree; and sources, targets (places in nodes) and weights of the edges between them. at: -1 everywhere, before and after."""
+        front, parts, ends = np.array([k]), [np.array([k])], [1]
+        at[k] = 0
+        while most > 0 and len(ends) <= degrees:
+            first, total = self.starts[front], int((self.starts[front + 1] - self.starts[front]).sum())
+            # Where a ring is cut, its nodes are the first ones: edges to further ones aren't looked at.
+            for bound, upto in zip(self.bounds, self.upto):
+                if bound == len(self.ids) or bound >= most + ends[-1] and total > 4 * most:
+                    reached = self.targets[spans(first, upto[front] - first)[0]]
+                    found = np.sort(reached[at[reached] < 0])
+                    found = found[np.append(True, found[1:] != found[:-1])] if len(found) else found
+                    if len(found) >= most:
+                        break
+            front = found[:most]
             if not len(front):
                 break
-            at[front] = np.arange(len(nodes), len(nodes) + len(front))
-            nodes = np.concatenate([nodes, front])
-            scores = self.own_scores(nodes, at, alpha, epsilon)[done:]
-            new = nodes[done:]
-            order = np.lexsort((new, -scores))
-            yield degree, self.ids[new[order]], scores[order]
-            most -= len(new)
-            done = len(nodes)
-            if most <= 0:
-                break
+            at[front] = np.arange(ends[-1], ends[-1] + len(front))
+            parts.append(front)
+            most -= len(front) + (len(ends) == 1)
+            ends.append(ends[-1] + len(front))
+        nodes = np.concatenate(parts)
+        # The edges to nodes before a bound are looked for among out-edges, those to the rest among these nodes' in-edges.
+        ways = []
+        for bound, upto in zip(self.bounds, self.upto):
+            if bound == len(self.ids) or bound > front[-1:].max(initial=0):
+                far = np.flatnonzero(nodes >= bound)
+                first, into = self.starts[nodes], self.in_starts[nodes[far]]
+                out, back = upto[nodes] - first, self.in_starts[nodes[far] + 1] - into
+                ways.append((out.sum() + back.sum(), bound, far, first, out, into, back))
+        _, _, far, first, out, into, back = min(ways, key=lambda w: w[:2])
+        edges, source = spans(first, out)
+        target = at[self.targets[edges]]
+        inside = np.flatnonzero(target >= 0)
+        edges, source, target = edges[inside], source[inside], target[inside]
+        if len(far):
+            there, of = spans(into, back)
+            came = at[self.sources[there]]
+            inside = np.flatnonzero(came >= 0)
+            edges, source, target = np.append(edges, self.places[there[inside]]), np.append(source, came[inside]), np.append(target, far[of[inside]])
         at[nodes] = -1
+        return nodes, ends, source, target, self.weights[edges]
+
+    def personal(self, many: np.ndarray, at: np.ndarray, degrees: int, most: int, alpha: float, epsilon: float) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(node, degree, ids, scores) of many nodes, solved as two graphs of separate parts: each node's last degree, which is large and settles in half the steps, and all nodes' other degrees."""
+        parts: dict[bool, list] = {True: [], False: []}
+        for k in many:
+            nodes, ends, source, target, v = self.around(k, at, degrees, most)
+            for degree in range(1, len(ends)):
+                last = degree == len(ends) - 1
+                some = slice(None) if last else np.flatnonzero((source < ends[degree]) & (target < ends[degree]))
+                parts[last].append((k, degree, nodes, ends, source[some], target[some], v[some]))
+        for found in filter(None, parts.values()):
+            sizes = np.array([ends[degree] for _, degree, _, ends, *_ in found])
+            firsts = np.cumsum(sizes) - sizes
+            source, target, v = (np.concatenate([x[n] + (first if n < 6 else 0) for first, x in zip(firsts, found)]) for n in (4, 5, 6))
+            t = seeded_scores(source, target, v, sizes, alpha, epsilon)
+            for first, (k, degree, nodes, ends, *_) in zip(firsts, found):
+                start = ends[degree - 1] if degree > 1 else 0
+                new, scores = nodes[start : ends[degree]], t[first + start : first + ends[degree]]
+                # Within a ring nodes are in order already.
+                order = np.argsort(-scores, kind="stable") if degree > 1 else np.lexsort((new, -scores))
+                yield self.ids[k], degree, self.ids[new[order]], scores[order]
+
+
+def spans(first: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places in stretches that begin at first, one after the other, and the stretch of each."""
+    ends = np.cumsum(sizes)
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    return np.arange(ends[-1]) + (first - ends + sizes)[of], of
+
+
+def seeded_scores(source: np.ndarray, target: np.ndarray, v: np.ndarray, sizes: np.ndarray, alpha: float, epsilon: float) -> np.ndarray:
+    """Trust scores in separate graphs of `sizes` nodes, in a row, each seeded with its first node alone: within epsilon, in sum over a graph, of what they settle at.
+
+    As all trust comes from the seed and that of nodes without out-edges goes back to it, the scores are in proportion to
+    the sum of what 0, 1, 2, ... steps from the seed bring, each at most a share 1 - alpha of the one before. Once a step
+    brings nearly `ratio` times the one before, in every node, so do all further ones, and their sum is known.
+    """
+    starts, n = np.cumsum(sizes) - sizes, int(sizes.sum())
+    c = (1 - alpha) * v / np.bincount(source, v, n)[source]
+    step, mass = np.zeros(n), np.ones(len(sizes))
+    step[starts] = 1.0
+    t = step.copy()
+    while True:
+        new = np.bincount(target, c * step[source], n)
+        total = np.add.reduceat(new, starts)
+        ratio = np.divide(total, mass, out=np.zeros(len(sizes)), where=mass > 0)
+        apart = np.add.reduceat(np.abs(new - np.repeat(ratio, sizes) * step), starts)
+        step, mass = new, total
+        # A bound of the error of the further steps' sum, which counts twice as the scores are scaled to 1.
+        if (2 * apart / (1 - ratio) / alpha < epsilon).all():
+            t += step / np.repeat(1 - ratio, sizes)
+            return t / np.repeat(np.add.reduceat(t, starts), sizes)
+        t += step
 
 
 def personal_graphs(edges: DataFrame, degrees: int = 5, most: int = 1000, alpha: float = 0.5, epsilon: float = 1e-6) -> DataFrame:
     """(fid, degree, scores): for every fid with out-edges and each degree, the fids first reached in that many steps, with their trust scores, best first.
 
-    The scores of a degree are those over the edges between all fids up to it, seeded with the fid alone. A fid gets
+    The scores of a degree are those over the edges between all fids up to it, seeded with the fid alone, within epsilon
+    in sum of what they settle at. A fid gets
     `most` others in all, nearer ones first and by id within a ring; its own score is the first degree's and counts as
     one of them for what is left to further degrees.
 
-    edges (i, j, v) without self edges and repeated pairs, v > 0. All of them go to the driver and to every worker, 12 bytes
+    edges (i, j, v) without self edges and repeated pairs, v > 0. All of them go to the driver and to every worker, 20 bytes
     each: the graph must fit there. The fids are shared out over the tasks.
     """
     spark = edges.sparkSession
@@ -229,11 +291,11 @@ def personal_graphs(edges: DataFrame, degrees: int = 5, most: int = 1000, alpha:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g = shared.value
-        at = np.full(len(g.ids), -1, dtype=np.int64)
+        at = np.full(len(g.ids), -1, dtype=np.int32)
         for batch in batches:
             nodes = batch.column(0).to_numpy()
-            for first in range(0, len(nodes), 200):
-                found = [(g.ids[k], *r) for k in nodes[first : first + 200] for r in g.personal(k, at, degrees, most, alpha, epsilon)]
+            for first in range(0, len(nodes), 32):
+                found = list(g.personal(nodes[first : first + 32], at, degrees, most, alpha, epsilon))
                 if not found:
                     continue
                 fid, degree, ids, scores = zip(*found)

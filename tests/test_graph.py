@@ -5,6 +5,7 @@ import duckdb
 import numpy as np
 import pytest
 
+from tallywick.operators import graph
 from tallywick.operators.graph import eigentrust, induced_edges, merge_interactions, personal_graphs, personalised, ranked, rings
 from tallywick.plans import trust  # noqa: F401
 from tallywick.plans.registry import ORACLES, QUERIES
@@ -124,6 +125,33 @@ def test_personal_graphs_of_every_fid_over_all_edges(spark, most):
             assert rows[degree] == pytest.approx(want[degree], abs=2e-6)
 
 
+@pytest.mark.parametrize("most", [40, 1500])
+def test_cut_rings_are_whole_without_reading_the_hubs_edges(monkeypatch, most):
+    """Hubs with very many edges: the same nodes and scores as by hand, from few of the edges where a ring is cut."""
+    rng = np.random.RandomState(8)
+    pairs = {(int(i), int(j)): float(rng.randint(1, 9)) for i, j in zip(np.append(rng.randint(5, size=9000), rng.randint(6000, size=9000)), rng.randint(6000, size=18000)) if i != j}
+    pairs |= {(4000, 3): 2.0, (3, 5999): 1.0, (5999, 4000): 4.0, (7, 5999): 1.0}
+    edges = [(i, j, v) for (i, j), v in pairs.items()]
+    g = graph.Graph(*(np.array(x) for x in zip(*edges)))
+    read, spans = [], graph.spans
+    monkeypatch.setattr(graph, "spans", lambda first, sizes: read.append(int(sizes.sum())) or spans(first, sizes))
+    at = np.full(len(g.ids), -1, dtype=np.int32)
+    some = np.searchsorted(g.ids, [0, 3, 7, 4000, 5999])
+    got = {}
+    for fid, degree, ids, scores in g.personal(some, at, 5, most, 0.5, 1e-6):
+        got.setdefault(int(fid), {})[degree] = dict(zip(ids.tolist(), scores))
+        assert list(zip(-scores, ids)) == sorted(zip(-scores, ids))
+    assert (at == -1).all() and set(got) == {0, 3, 7, 4000, 5999}
+    if most == 40:
+        assert sum(read) < len(edges)
+    for fid, rows in got.items():
+        want = by_hand(edges, fid, 5, most) if most == 40 else {d: None for d in rows}
+        assert set(rows) == set(want)
+        for degree in want:
+            assert want[degree] is None or rows[degree] == pytest.approx(want[degree], abs=1e-6)
+        assert most == 40 or sum(map(len, rows.values())) >= most
+
+
 def test_personal_graphs_without_edges(spark):
     assert personal_graphs(spark.createDataFrame([], EDGES)).count() == 0
 
