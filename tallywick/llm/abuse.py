@@ -2,24 +2,26 @@
 
 from __future__ import annotations
 
+import pickle
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import regex as re
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import RDD
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from ..storage import materialise
 from .text import folded
 from .tokens import spread
 
-#: Labelled documents used for training, at most: the first by a hash of their id. Others are not read.
-MOST_LABELLED = 20_000
-#: Documents without a judgement that stand for the ordinary ones in training, at most, and the weight of each: a few of them offend, but far fewer than one in ten.
-MOST_UNLABELLED, UNLABELLED_WEIGHT = 4_000, 0.2
+#: The weight in training of a document without a judgement, as most of them are ordinary ones: a few offend, but far fewer than one in ten. All of them are read; more than ORDINARY weigh as much together as so many, so that they don't drown the judgements.
+UNLABELLED_WEIGHT, ORDINARY = 0.2, 4_000
 #: The weight of a document without a judgement that a model which didn't see it is sure of.
 FOUND_WEIGHT = 0.5
 DIMENSIONS = 1 << 20
@@ -192,64 +194,8 @@ def noisy_or(p: np.ndarray, doc: np.ndarray | None = None, n: int = 1) -> np.nda
     return float(-np.expm1(missed.sum())) if doc is None else -np.expm1(np.bincount(doc, missed, n))
 
 
-class Bags:
-    """Documents as bags of sentences, as flat arrays."""
-
-    def __init__(self, texts: list[str]):
-        split, doc = split_all(texts)
-        self.doc, self.n_docs, self.n_sent = doc.astype(np.int32), len(texts), len(split)
-        found = [_words.features(split[k : k + SENTENCES]) for k in range(0, len(split), SENTENCES)]
-        self.feature = np.concatenate([f for f, _ in found]) if found else np.zeros(0, dtype=np.int32)
-        self.sentence = np.concatenate([s + k * SENTENCES for k, (_, s) in enumerate(found)]).astype(np.int32) if found else np.zeros(0, dtype=np.int32)
-        self.scale = 1 / np.sqrt(np.maximum(np.bincount(self.sentence, minlength=len(split)), 1))
-
-    def subset(self, keep: np.ndarray) -> "Bags":
-        out = object.__new__(Bags)
-        s_keep = keep[self.doc]
-        f_keep = s_keep[self.sentence]
-        out.doc, out.n_docs = (np.cumsum(keep) - 1)[self.doc[s_keep]], int(keep.sum())
-        out.sentence, out.n_sent = (np.cumsum(s_keep) - 1)[self.sentence[f_keep]], int(s_keep.sum())
-        out.feature, out.scale = self.feature[f_keep], self.scale[s_keep]
-        return out
-
-    def probabilities(self, w: np.ndarray, b: float) -> tuple[np.ndarray, np.ndarray]:
-        z = np.bincount(self.sentence, w[self.feature], self.n_sent) * self.scale + b
-        p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        miss = np.bincount(self.doc, np.log1p(-np.minimum(p, 1 - 1e-9)), self.n_docs)
-        return p, np.clip(-np.expm1(miss), 1e-9, 1 - 1e-9)
-
-
-def fit(bags: Bags, y: np.ndarray, weight: np.ndarray, steps: int = 100, rate: float = 0.1, decay: float = 2e-6) -> tuple[np.ndarray, float]:
-    """Noisy-or logistic weights by gradient steps of adaptive size with momentum.
-
-    Only features that speak for an offence get one: in two documents or more, and in offending ones at least twice as
-    often as their share of the documents.
-    """
-    pairs = distinct(bags.doc[bags.sentence].astype(np.int64) * DIMENSIONS + bags.feature)
-    names, at, docs = np.unique(pairs % DIMENSIONS, return_inverse=True, return_counts=True)
-    share = np.bincount(at, (y * weight)[pairs // DIMENSIONS]) / np.maximum(np.bincount(at, weight[pairs // DIMENSIONS]), 1e-9)
-    names = names[(docs >= 2) & (share >= 2 * (y * weight).sum() / max(weight.sum(), 1e-9))]
-    at = np.minimum(np.searchsorted(names, bags.feature), max(len(names) - 1, 0))
-    used = names[at] == bags.feature if len(names) else np.zeros(len(at), dtype=bool)
-    small = object.__new__(Bags)
-    small.__dict__ |= bags.__dict__ | {"feature": at[used], "sentence": bags.sentence[used]}
-    w, b = np.zeros(len(names)), -6.5
-    mean, square = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
-    for k in range(1, steps + 1):
-        p, q = small.probabilities(w, b)
-        # d loss / d z of a sentence: p for the documents that don't offend, p - p/q for those that do.
-        g = weight[bags.doc] * (p - y[bags.doc] * np.minimum(p / q[bags.doc], 1.0))
-        grad = np.append(np.bincount(small.feature, (g * bags.scale)[small.sentence], len(names)) + decay * bags.n_docs * w, g.sum())
-        mean, square = 0.9 * mean + 0.1 * grad, 0.99 * square + 0.01 * grad**2
-        step = rate * mean / (1 - 0.9**k) / (np.sqrt(square / (1 - 0.99**k)) + 1e-9)
-        w, b = w - step[:-1], b - 0.3 * step[-1]
-    full = np.zeros(DIMENSIONS)
-    full[names] = w
-    return full, b
-
-
-def labelled_documents(docs: DataFrame, doc_id: str, text: str, labels: DataFrame, label_id: str, annotator: str, category: str, most: int = MOST_LABELLED) -> DataFrame:
-    """At most `most` judged documents: doc, text, share, the part of its annotators that call it offending, and agreed: two or more say the same.
+def labelled_documents(docs: DataFrame, doc_id: str, text: str, labels: DataFrame, label_id: str, annotator: str, category: str) -> DataFrame:
+    """All judged documents: doc, text, share, the part of its annotators that call it offending, and agreed: two or more say the same.
 
     Case and blanks of a category make no difference; null and unknown ones are no judgement; an annotator's repeated
     rows count as one judgement, offending if any of them is.
@@ -257,44 +203,64 @@ def labelled_documents(docs: DataFrame, doc_id: str, text: str, labels: DataFram
     kind = F.lower(F.trim(F.col(category)))
     votes = labels.select(F.col(label_id).alias("doc"), F.col(annotator).alias("a"), F.when(kind.isin(*KINDS), 1.0).when(kind == "none", 0.0).alias("v")).dropna(subset=["doc", "v"])
     share = votes.groupBy("doc", "a").agg(F.max("v").alias("v")).groupBy("doc").agg(F.avg("v").alias("share"), ((F.count(F.lit(1)) > 1) & (F.min("v") == F.max("v"))).alias("agreed"))
-    chosen = share.orderBy(F.xxhash64("doc"), "doc").limit(most)
-    rows = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).filter("text is not null").join(F.broadcast(chosen), "doc")
+    rows = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).filter("text is not null").join(share, "doc")
     return rows.dropDuplicates(["doc"])
 
 
-def unlabelled_documents(docs: DataFrame, doc_id: str, text: str, labels: DataFrame, label_id: str, most: int = MOST_UNLABELLED) -> DataFrame:
-    """At most `most` documents without a judgement: doc, text. The first by a hash of their id."""
+def unlabelled_documents(docs: DataFrame, doc_id: str, text: str, labels: DataFrame, label_id: str) -> DataFrame:
+    """All documents without a judgement: doc, text."""
     rows = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).filter("text is not null and doc is not null")
-    rest = rows.join(labels.select(F.col(label_id).alias("doc")).distinct(), "doc", "left_anti")
-    chosen = rest.select("doc").distinct().orderBy(F.xxhash64(F.lit(5), "doc"), "doc").limit(most)
-    return rows.join(F.broadcast(chosen), "doc").dropDuplicates(["doc"])
+    return rows.join(labels.select(F.col(label_id).alias("doc")).distinct(), "doc", "left_anti").dropDuplicates(["doc"])
 
 
 #: Held-out scores under which a document looks innocent, and over which it looks offending, to a model that did not see it.
 LOW, HIGH = 0.05, 0.5
 
 
-def reconsidered(p: np.ndarray, y: np.ndarray, weight: np.ndarray, judged: np.ndarray, agreed: np.ndarray, error: float) -> tuple[np.ndarray, np.ndarray]:
-    """Labels and weights in the light of held-out scores p, by Bayes' rule: what a judgement of one annotator still weighs if a model contradicts it (nothing, if it is a slip more likely than not), and which documents without one are taken as offending.
+@dataclass
+class Rule:
+    """How judgements count: `each` is the weight of a document without one; seen: sums by `seen_by` that they are reconsidered by, with the part of judgements that err, or None: as given."""
+
+    each: float
+    error: float = 0.0
+    seen: np.ndarray | None = None
+
+
+def given(block: dict, each: float) -> tuple[np.ndarray, np.ndarray]:
+    """Labels and weights of a block's documents, as judged."""
+    return (block["share"] > 0.5).astype(float), np.where(block["judged"], np.abs(block["share"] - 0.5) * 2, each)
+
+
+def seen_by(block: dict, each: float) -> np.ndarray:
+    """Weights of what the held-out scores in block["p"] say: pairs of hits and all, of offending and innocent judgements of two annotators, of judgements, and of documents without one; then, as numbers, documents without one that look offending, and all of these."""
+    y, weight = given(block, each)
+    judged, sure, high, low = block["judged"], block["judged"] & block["agreed"], block["p"] > HIGH, block["p"] < LOW
+    pairs = ((low, sure & (y == 1)), (high, sure & (y == 0)), (y == 1, judged), (high, ~judged))
+    return np.array([*(x for hit, of in pairs for x in (weight[hit & of].sum(), weight[of].sum())), (high & ~judged).sum(), (~judged).sum()])
+
+
+def reconsidered(block: dict, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+    """Labels and weights in the light of held-out scores block["p"], by Bayes' rule: what a judgement of one annotator still weighs if a model contradicts it (nothing, if it is a slip more likely than not), and which documents without one are taken as offending.
 
     How far a model is believed follows from how often it errs on judgements that two annotators agree on, and how far an
     annotator is, from how often two disagree. Counts are smoothed, so a model that few cases speak for changes little; the
     rule is the same at every size.
     """
-    sure = judged & agreed
-    rate = lambda hit, of: (float(weight[hit & of].sum()) + 1) / (float(weight[of].sum()) + 2)
+    y, weight = given(block, rule.each)
+    if rule.seen is None:
+        return y, weight
+    p, judged, error = block["p"], block["judged"], rule.error
+    missed, alarm, share, found = ((rule.seen[k] + 1) / (rule.seen[k + 1] + 2) for k in (0, 2, 4, 6))
     offends, low, high = y == 1, p < LOW, p > HIGH
-    missed, alarm, share = rate(low, sure & offends), rate(high, sure & ~offends), rate(offends, judged)
     slip = np.zeros(len(y))
     slip[judged & offends & low] = error * (1 - share) / (error * (1 - share) + (1 - error) * share * missed)
     slip[judged & ~offends & high] = error * share * (1 - missed) / (error * share * (1 - missed) + (1 - error) * (1 - share) * alarm)
-    slip[sure] = 0
+    slip[judged & block["agreed"]] = 0
     new_y, new_weight = y.copy(), weight * np.where(slip > 0.5, 0, 1 - slip)
-    found = rate(high, ~judged)
     sure_of = found * (1 - missed) / (found * (1 - missed) + (1 - found) * alarm)
     new_y[~judged & high] = float(sure_of > 0.5)
-    new_weight[~judged & high] = abs(2 * sure_of - 1) * FOUND_WEIGHT
-    new_weight[~judged & ~low & ~high] = 0.1 * UNLABELLED_WEIGHT
+    new_weight[~judged & high] = abs(2 * sure_of - 1) * FOUND_WEIGHT / UNLABELLED_WEIGHT * rule.each
+    new_weight[~judged & ~low & ~high] = 0.1 * rule.each
     return new_y, new_weight
 
 
@@ -310,61 +276,290 @@ def best_threshold(p: np.ndarray, y: np.ndarray, weight: np.ndarray, prevalence:
     return float((s[at] + (s[at + 1] if at + 1 < len(s) else 0)) / 2)
 
 
-def train(labelled: pd.DataFrame, unlabelled: pd.DataFrame | None = None, folds: int = 3) -> Model:
+def add(x: list[np.ndarray] | None, y: list[np.ndarray]) -> list[np.ndarray]:
+    return y if x is None else [p + q for p, q in zip(x, y)]
+
+
+class Here:
+    """Blocks of documents in memory: dicts of texts and of arrays, one value a document."""
+
+    def __init__(self, blocks: list[dict]):
+        self.blocks = blocks
+
+    def total(self, f: Callable, shared: object = None, texts: bool = False) -> list[np.ndarray] | None:
+        """The sums of the arrays that f(block, shared) gives; None if there is no block. texts: whether f reads them."""
+        return reduce(add, (f(b, shared) for b in self.blocks), None)
+
+    def changed(self, f: Callable, shared: object = None) -> "Here":
+        return Here([f(b, shared) for b in self.blocks])
+
+    def listed(self, f: Callable, shared: object = None) -> list[np.ndarray]:
+        return [f(b, shared) for b in self.blocks]
+
+
+class Stored:
+    """The same in the shared folder, read anew by each call: a task holds one block at a time."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows = materialise(rows, "blocks")
+        self.context = rows.sparkSession.sparkContext
+        self.plain = self.rows.select("rest").rdd
+        self.plain = self.plain.coalesce(min(self.plain.getNumPartitions(), self.context.defaultParallelism))
+
+    def _run(self, f: Callable, texts: bool) -> RDD:
+        def blocks(rows: Iterator[Row]) -> Iterator:
+            return f(pickle.loads(r.rest) | ({"texts": r.texts} if texts else {}) for r in rows)
+
+        return (self.rows.rdd if texts else self.plain).mapPartitions(blocks)
+
+    def total(self, f: Callable, shared: object = None, texts: bool = False) -> list[np.ndarray] | None:
+        sent = self.context.broadcast(shared)
+
+        def part(blocks: Iterator[dict]) -> Iterator[list[np.ndarray]]:
+            found = reduce(add, (f(b, sent.value) for b in blocks), None)
+            return iter([] if found is None else [found])
+
+        sums = self._run(part, texts)
+        # Many tasks' sums are added up by tasks first.
+        found = sums.collect() if sums.getNumPartitions() <= 16 else [x for x in [sums.treeAggregate(None, lambda x, y: y if x is None else add(x, y), lambda x, y: x if y is None else add(x, y))] if x is not None]
+        sent.destroy()
+        return reduce(add, found, None)
+
+    def listed(self, f: Callable, shared: object = None) -> list[np.ndarray]:
+        return self._run(lambda blocks: (f(b, shared) for b in blocks), False).collect()
+
+    def changed(self, f: Callable, shared: object = None) -> "Stored":
+        sent = self.context.broadcast(shared)
+
+        def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                for texts, rest in zip(pdf["texts"], pdf["rest"]):
+                    new = f(pickle.loads(rest) | {"texts": list(texts)}, sent.value)
+                    yield stored_block(new)
+
+        return Stored(self.rows.mapInPandas(work, BLOCK))
+
+
+BLOCK = "texts array<string>, rest binary"
+
+
+def stored_block(block: dict) -> pd.DataFrame:
+    return pd.DataFrame({"texts": [block["texts"]], "rest": [pickle.dumps({k: v for k, v in block.items() if k != "texts"}, protocol=5)]})
+
+
+def text_key(text: str) -> int:
+    """The same for equal texts, as a reader sees them."""
+    return xxhash.xxh64_intdigest(folded(text))
+
+
+def new_block(texts: list[str], share: np.ndarray, agreed: np.ndarray, folds: int) -> dict:
+    """share: NaN for documents without a judgement."""
+    judged = ~np.isnan(share)
+    fold = np.array([text_key(t) % folds for t in texts], dtype=np.int64)
+    return {"texts": texts, "judged": judged, "share": np.where(judged, share, 0.0).round(12), "agreed": agreed.astype(bool), "fold": fold, "p": np.zeros(len(texts))}
+
+
+def found_in(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of some sentences after the other: the text of each, and their features with the sentence of each."""
+    split, doc = split_all(texts)
+    for k in range(0, len(split), SENTENCES):
+        yield doc[k : k + SENTENCES], *_words.features(split[k : k + SENTENCES])
+
+
+def pairs_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The different features of each text, and the text of each."""
+    both = [doc[sentence] * DIMENSIONS + feature for doc, feature, sentence in found_in(texts)]
+    pairs = distinct(np.concatenate(both)) if both else np.zeros(0, dtype=np.int64)
+    return pairs % DIMENSIONS, pairs // DIMENSIONS
+
+
+def judgements(block: dict, each: float) -> list[np.ndarray]:
+    """Numbers of documents with and without a judgement, of those judged in part offending, those agreed on or not, and those that offend."""
+    judged, share = block["judged"], block["share"]
+    clash = judged & (share > 0) & (share < 1)
+    return [np.array([judged.sum(), (~judged).sum(), clash.sum(), (judged & (block["agreed"] | clash)).sum(), (judged & (share > 0.5)).sum()])]
+
+
+def plain_counts(block: dict, folds: int) -> list[np.ndarray]:
+    """By fold and feature, the documents without a judgement that have it."""
+    rest = np.flatnonzero(~block["judged"])
+    feature, text = pairs_of([block["texts"][k] for k in rest])
+    return [np.bincount(block["fold"][rest][text] * DIMENSIONS + feature, minlength=folds * DIMENSIONS).reshape(folds, DIMENSIONS).astype(np.int32)]
+
+
+def offending_features(block: dict, rule: Rule) -> list[np.ndarray]:
+    y, weight = reconsidered(block, rule)
+    feature, _ = pairs_of([block["texts"][k] for k in np.flatnonzero((y == 1) & (weight > 0))])
+    return [np.bincount(feature, minlength=DIMENSIONS).astype(np.int32)]
+
+
+def special_sums(block: dict, shared: tuple[Rule, np.ndarray, int]) -> list[np.ndarray]:
+    """By fold and place of a feature: documents, their weight, and that of offending ones, beyond what documents without a judgement count as given; then the same by fold for all documents."""
+    rule, place, folds = shared
+    y, weight = reconsidered(block, rule)
+    judged, fold = block["judged"], block["fold"]
+    docs, more = np.where(judged, weight > 0, (weight > 0) - 1.0), np.where(judged, weight, weight - rule.each)
+    special = np.flatnonzero(judged | (more != 0) | (y != 0))
+    feature, text = pairs_of([block["texts"][k] for k in special])
+    used = place[feature] >= 0
+    doc, n = special[text[used]], int(place.max()) + 1
+    at = fold[doc] * n + place[feature[used]]
+    by = lambda x: np.bincount(at, x[doc], folds * n).reshape(folds, n)
+    all_ = lambda x: np.bincount(fold, x, folds)
+    count = np.where(judged, 1.0, rule.each / UNLABELLED_WEIGHT) * (weight > 0)
+    return [by(docs).astype(np.int32), by(more), by(y * weight), all_(weight), all_(y * weight), all_(count)]
+
+
+def projected(block: dict, shared: tuple[Rule, np.ndarray]) -> dict:
+    """The block with labels and weights, and of its sentences' features those that have a place; a document's sentences without any are one, counted as often."""
+    rule, place = shared
+    y, weight = reconsidered(block, rule)
+    docs, features, sents, scales, times, n = [], [], [], [], [], 0
+    empty = np.zeros(len(y))
+    for doc, feature, sentence in found_in(block["texts"]):
+        scale = 1 / np.sqrt(np.maximum(np.bincount(sentence, minlength=len(doc)), 1))
+        used = place[feature] >= 0
+        has = np.zeros(len(doc), dtype=bool)
+        has[sentence[used]] = True
+        empty += np.bincount(doc[~has], minlength=len(y))
+        features.append(place[feature[used]])
+        sents.append((np.cumsum(has) - 1 + n)[sentence[used]])
+        docs.append(doc[has])
+        scales.append(scale[has])
+        times.append(np.ones(int(has.sum())))
+        n += int(has.sum())
+    without = np.flatnonzero(empty)
+    join = lambda x, kind: np.concatenate([*x, np.zeros(0)]).astype(kind)
+    bag = {"doc": join([*docs, without], np.int32), "feature": join(features, np.int32), "sentence": join(sents, np.int32), "scale": join([*scales, np.zeros(len(without))], np.float64), "times": join([*times, empty[without]], np.float64)}
+    return {**block, "y": y, "weight": weight, "bag": bag}
+
+
+def probabilities(bag: dict, n: int, w: np.ndarray, b: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of each sentence and of each of n documents."""
+    z = np.bincount(bag["sentence"], w[bag["feature"]], len(bag["doc"])) * bag["scale"] + b
+    p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    miss = np.bincount(bag["doc"], bag["times"] * np.log1p(-np.minimum(p, 1 - 1e-9)), n)
+    return p, np.clip(-np.expm1(miss), 1e-9, 1 - 1e-9)
+
+
+def gradient(block: dict, shared: tuple[list[int], np.ndarray, np.ndarray]) -> list[np.ndarray]:
+    """Of each model, which doesn't see the fold that it is named after: by its weights, and by its bias."""
+    names, w, b = shared
+    bag, y, grads, sums = block["bag"], block["y"], [], []
+    doc = bag["doc"]
+    for k, one in enumerate(names):
+        p, q = probabilities(bag, len(y), w[k], b[k])
+        # d loss / d z of a sentence: p for the documents that don't offend, p - p/q for those that do.
+        g = bag["times"] * (block["weight"] * (block["fold"] != one))[doc] * (p - y[doc] * np.minimum(p / q[doc], 1.0))
+        grads.append(np.bincount(bag["feature"], (g * bag["scale"])[bag["sentence"]], w.shape[1]))
+        sums.append(g.sum())
+    return [np.array(grads), np.array(sums)]
+
+
+def held_out(block: dict, shared: tuple[list[int], np.ndarray, np.ndarray]) -> dict:
+    """The block with its documents' scores by the models that didn't see them, 0 where there is none."""
+    names, w, b = shared
+    p = np.zeros(len(block["p"]))
+    for k, one in enumerate(names):
+        mine = block["fold"] == one
+        p[mine] = probabilities(block["bag"], len(p), w[k], b[k])[1][mine]
+    return {**{k: v for k, v in block.items() if k not in ("bag", "y", "weight")}, "p": p}
+
+
+def judged_scores(block: dict, rule: Rule) -> np.ndarray:
+    some = block["judged"]
+    return np.array([block["p"][some], given(block, rule.each)[0][some], reconsidered(block, rule)[1][some]])
+
+
+def fit(blocks: Here | Stored, rule: Rule, plain: np.ndarray, names: list[int], steps: int = 100, rate: float = 0.1, decay: float = 2e-6) -> tuple[Here | Stored, tuple, np.ndarray]:
+    """Noisy-or logistic weights by gradient steps of adaptive size with momentum, over all documents in each step: one model for each name, which sees all folds but that; all in the same passes. (blocks, (names, weights, biases), features of the weights).
+
+    Only features that speak for an offence get one: in two documents or more, and in offending ones at least twice as
+    often as their share of the documents.
+    """
+    folds = len(plain)
+    candidates = np.flatnonzero(blocks.total(offending_features, rule, texts=True)[0])
+    place = np.full(DIMENSIONS, -1, dtype=np.int32)
+    place[candidates] = np.arange(len(candidates))
+    docs, more, bad, all_weight, all_bad, count = blocks.total(special_sums, (rule, place, folds), texts=True)
+    docs, weight = docs + plain[:, candidates], more + plain[:, candidates] * rule.each
+    seen = {one: [f for f in range(folds) if f != one] for one in names}
+    names = [one for one in names if all_bad[seen[one]].sum() > 0]
+    good = np.zeros((len(names), len(candidates)), dtype=bool)
+    for k, one in enumerate(names):
+        s = seen[one]
+        share = bad[s].sum(0) / np.maximum(weight[s].sum(0), 1e-9)
+        good[k] = (docs[s].sum(0) >= 2) & (share >= (1 - 1e-9) * 2 * all_bad[s].sum() / max(all_weight[s].sum(), 1e-9))
+    any_ = good.any(axis=0)
+    good, features = good[:, any_], candidates[any_]
+    place[:] = -1
+    place[features] = np.arange(len(features))
+    blocks = blocks.changed(projected, (rule, place))
+    size = np.array([count[seen[one]].sum() for one in names])
+    w, b = np.zeros(good.shape), np.full(len(names), -6.5)
+    mean, square = np.zeros((len(names), len(features) + 1)), np.zeros((len(names), len(features) + 1))
+    for k in range(1, steps * bool(names) + 1):
+        by_weight, by_bias = blocks.total(gradient, (names, w, b))
+        grad = np.column_stack([(by_weight + decay * size[:, None] * w) * good, by_bias])
+        mean, square = 0.9 * mean + 0.1 * grad, 0.99 * square + 0.01 * grad**2
+        step = rate * mean / (1 - 0.9**k) / (np.sqrt(square / (1 - 0.99**k)) + 1e-9)
+        w, b = w - step[:, :-1], b - 0.3 * step[:, -1]
+    return blocks, (names, w, b), features
+
+
+def fit_all(blocks: Here | Stored, folds: int) -> Model:
     """A model and its threshold, in three fits: on the judgements as given, with documents without one as ordinary; on what `reconsidered` makes of them in the light of models that did not see them, twice. The threshold is where the judgements, scored by models that did not see them, come out best."""
-    if labelled.empty or not (labelled["share"] > 0.5).any():
+    found = blocks.total(judgements)
+    judged, rest, clash, said_twice, offending = found[0] if found else np.zeros(5)
+    if not offending:
         return Model(np.zeros(DIMENSIONS), -30.0, 0.5)
-    # Equal texts are one case: their judgements are averaged.
+    rule = Rule(UNLABELLED_WEIGHT * min(1.0, ORDINARY / max(rest, 1)))
+    plain = blocks.total(plain_counts, folds, texts=True)[0]
+    for _ in range(2):
+        blocks, models, _ = fit(blocks, rule, plain, [*range(folds)])
+        blocks = blocks.changed(held_out, models)
+        seen = blocks.total(one_sum, rule.each)[0]
+        rule = Rule(rule.each, (clash + 0.5) / (2 * (said_twice + 5)), seen)
+    prevalence = (seen[8] + 1) / (seen[9] + 2) if rest else offending / judged
+    threshold = best_threshold(*np.concatenate(blocks.listed(judged_scores, rule), axis=1), prevalence)
+    _, (names, w, b), features = fit(blocks, rule, plain, [folds])
+    weights = np.zeros(DIMENSIONS, dtype=np.float32)
+    if not names:
+        return Model(weights, -6.5, threshold)
+    weights[features] = w[0]
+    return Model(weights, float(b[0]), threshold)
+
+
+def one_sum(block: dict, each: float) -> list[np.ndarray]:
+    return [seen_by(block, each)]
+
+
+def train(labelled: pd.DataFrame, unlabelled: pd.DataFrame | None = None, folds: int = 3) -> Model:
+    """`fit_all` on documents in memory. Equal texts are one case: their judgements are averaged."""
     rest = [] if unlabelled is None else [t for t in unlabelled["text"] if t]
-    cases = labelled.assign(key=[xxhash.xxh64_intdigest(folded(t)) for t in labelled["text"]]).groupby("key", sort=True).agg(text=("text", "first"), share=("share", "mean"), agreed=("agreed", "max")).reset_index()
-    bags = Bags([*cases["text"], *rest])
-    share = np.concatenate([cases["share"].to_numpy(), np.zeros(len(rest))])
-    judged = np.arange(len(share)) < len(cases)
+    cases = labelled.assign(key=[text_key(t) for t in labelled["text"]]).groupby("key", sort=True).agg(text=("text", "first"), share=("share", "mean"), agreed=("agreed", "max")).reset_index()
+    share = np.concatenate([cases["share"].to_numpy(float), np.full(len(rest), np.nan)])
     agreed = np.concatenate([cases["agreed"].to_numpy(bool), np.zeros(len(rest), dtype=bool)])
-    clash = judged & (share > 0) & (share < 1)
-    error = (clash.sum() + 0.5) / (2 * ((agreed | clash).sum() + 5))
-    weight, y = np.abs(share - 0.5) * 2 * np.where(judged, 1.0, UNLABELLED_WEIGHT), (share > 0.5).astype(float)
-    fold = np.concatenate([cases["key"].to_numpy(np.uint64) % np.uint64(folds), np.array([xxhash.xxh64_intdigest(folded(t)) % folds for t in rest], dtype=np.uint64)]).astype(int)
-
-    def held_out(y: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(y))
-        for k in range(folds):
-            seen = (fold != k) & (weight > 0)
-            if y[seen].any():
-                w, b = fit(bags.subset(seen), y[seen], weight[seen])
-                out[fold == k] = bags.subset(fold == k).probabilities(w, b)[1]
-        return out
-
-    new_y, new_weight = reconsidered(held_out(y, weight), y, weight, judged, agreed, error)
-    p = held_out(new_y, new_weight)
-    prevalence = float(((p[~judged] > HIGH).sum() + 1) / ((~judged).sum() + 2)) if rest else float(y[judged].mean())
-    new_y, new_weight = reconsidered(p, y, weight, judged, agreed, error)
-    threshold = best_threshold(p[judged], y[judged], new_weight[judged], prevalence)
-    keep = new_weight > 0
-    w, b = fit(bags.subset(keep), new_y[keep], new_weight[keep])
-    return Model(w.astype(np.float32), b, threshold)
-
-
-def train_in_task(labelled: DataFrame, unlabelled: DataFrame) -> Model:
-    """The same in one task, on the two bounded samples; the driver gets only the weights that aren't 0."""
-    rows = labelled.select("doc", "text", "share", "agreed").unionByName(unlabelled.select("doc", "text", F.lit(None).cast("double").alias("share"), F.lit(False).alias("agreed")))
-
-    def task(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("doc", ignore_index=True)
-        judged = pdf["share"].notna()
-        m = train(pdf[judged].reset_index(drop=True), pdf[~judged])
-        at = np.flatnonzero(m.weights)
-        return pd.DataFrame({"feature": np.append(at, [-1, -2]).astype(np.int64), "weight": np.append(m.weights[at].astype(np.float64), [m.bias, m.threshold])})
-
-    found = rows.groupBy(F.lit("all").alias("part")).applyInPandas(task, "feature bigint, weight double").toPandas()
-    if found.empty:
-        return Model(np.zeros(DIMENSIONS), -30.0, 0.5)
-    model = Model(np.zeros(DIMENSIONS, dtype=np.float32), 0.0, 0.5)
-    named = found.set_index("feature")["weight"]
-    model.bias, model.threshold = float(named[-1]), float(named[-2])
-    named = named[named.index >= 0]
-    model.weights[named.index.to_numpy()] = named.to_numpy()
-    return model
+    return fit_all(Here([new_block([*cases["text"], *rest], share, agreed, folds)]), folds)
+
+
+def train_in_task(labelled: DataFrame, unlabelled: DataFrame, folds: int = 3) -> Model:
+    """The same over all documents of two tables of any size, in as many tasks as there are cores: each step of a fit is a pass over all blocks. The driver gets sums by feature, and the held-out scores of judged documents."""
+
+    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.assign(key=np.array([text_key(t) for t in pdf["text"]], dtype=np.uint64).astype(np.int64))
+
+    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            size = pdf["text"].str.len().cumsum() // CHUNK
+            for _, some in pdf.groupby(size.to_numpy(), sort=True):
+                yield stored_block(new_block(some["text"].tolist(), some["share"].to_numpy(float), some["agreed"].to_numpy(bool), folds))
+
+    judged = labelled.select("text", "share", "agreed").mapInPandas(keyed, "text string, share double, agreed boolean, key bigint")
+    cases = judged.groupBy("key").agg(F.min("text").alias("text"), F.avg("share").alias("share"), F.max("agreed").alias("agreed")).drop("key")
+    rest = unlabelled.filter("text != ''").select("text", F.lit(None).cast("double").alias("share"), F.lit(False).alias("agreed"))
+    return fit_all(Stored(spread(cases.unionByName(rest)).mapInPandas(blocks, BLOCK)), folds)
 
 
 def score_documents(docs: DataFrame, doc_id: str, text: str, model: Model, others: tuple[str, ...] = ()) -> DataFrame:

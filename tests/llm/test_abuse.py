@@ -3,7 +3,8 @@ import random
 import numpy as np
 import pandas as pd
 
-from tallywick.llm.abuse import features, labelled_documents, noisy_or, score_documents, sentences, train, train_in_task
+from tallywick.llm import abuse
+from tallywick.llm.abuse import features, labelled_documents, noisy_or, score_documents, sentences, train, train_in_task, unlabelled_documents
 
 CALM = ["the {0} round closes on friday", "my rank went from 4 to 9 after the {0} update", "read the {0} notes here https://x.example/{0}", "what a filthy good riff, @{0}"]
 BAD = ["you are a filthy halfwit, @{0}", "nobody wants you here @{0}, get lost", "send them all back to the {0} mud"]
@@ -68,3 +69,24 @@ def test_a_run_without_blanks_keeps_its_last_part():
         assert pieces[0] == "before" and pieces[-1] == "after" and max(map(len, pieces)) <= abuse.RUN
         assert pieces[-2].endswith(abuse.folded(run)[-10:])
     assert abuse.sentences("see https://a.b/" + "xyzw" * 30 + " now") == ["see https://a.b/" + "xyzw" * 30 + " now"]
+
+
+def test_all_documents_are_trained_on(spark):
+    n = 20_500
+    docs = spark.range(2 * n).selectExpr("id as doc_id", "concat('text ', id) as text")
+    labels = spark.range(n).selectExpr("id as doc_id", "'a' as annotator", "if(id % 9 = 0, 'hate', 'none') as category")
+    assert labelled_documents(docs, "doc_id", "text", labels, "doc_id", "annotator", "category").count() == n
+    assert unlabelled_documents(docs, "doc_id", "text", labels, "doc_id").count() == n
+
+
+def test_any_cut_into_blocks_gives_the_same(monkeypatch):
+    """Also with more documents without a judgement than weigh in full."""
+    monkeypatch.setattr(abuse, "ORDINARY", 50)
+    data, rest = make(1, 120), make(5, 200)["text"].tolist()
+    texts, share = [*data["text"], *rest], np.append(data["share"].to_numpy(), np.full(len(rest), np.nan))
+    agreed = ~np.isnan(share)
+    cuts = [0, 70, 120, 121, 200, len(texts)]
+    one = abuse.fit_all(abuse.Here([abuse.new_block(texts, share, agreed, 3)]), 3)
+    many = abuse.fit_all(abuse.Here([abuse.new_block(texts[a:b], share[a:b], agreed[a:b], 3) for a, b in zip(cuts, cuts[1:])]), 3)
+    assert abs(one.threshold - many.threshold) < 1e-9 and np.allclose(one.weights, many.weights, atol=1e-5)
+    assert (one.weights != 0).any() and noisy_or(many.sentence_scores("you are a filthy halfwit, @bell")[1]) >= many.threshold
