@@ -298,7 +298,7 @@ class Here:
 
 
 class Stored:
-    """The same in the shared folder, read anew by each call: a task holds one block at a time."""
+    """The same in the shared folder, read anew by each call: a task holds a few blocks at a time."""
 
     def __init__(self, rows: DataFrame):
         self.rows = materialise(rows, "blocks")
@@ -320,8 +320,8 @@ class Stored:
             return iter([] if found is None else [found])
 
         sums = self._run(part, texts)
-        # Many tasks' sums are added up by tasks first.
-        found = sums.collect() if sums.getNumPartitions() <= 16 else [x for x in [sums.treeAggregate(None, lambda x, y: y if x is None else add(x, y), lambda x, y: x if y is None else add(x, y))] if x is not None]
+        # Many tasks' sums, and those of all features, are added up by tasks first, as the driver has little memory.
+        found = sums.collect() if not texts and sums.getNumPartitions() <= 16 else [x for x in [sums.treeAggregate(None, lambda x, y: y if x is None else add(x, y), lambda x, y: x if y is None else add(x, y))] if x is not None]
         sent.destroy()
         return reduce(add, found, None)
 
